@@ -24,7 +24,7 @@ from tessella.operators.evaluation import (
     sizes_by_k,
 )
 from tessella.operators.features import RAW, SCALED, UNCENTRED, fit_features, uncentred
-from tessella.operators.layout import materialised, persisted, pin_layout
+from tessella.operators.layout import checkpointed, materialised, persisted, pin_layout
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,8 @@ class FitTable:
     """Features ready for fitting.
 
     ``customers`` is the materialised input and ``model`` turns it into
-    features; ``table`` holds just id and feature vectors, in pinned layout,
-    persisted for as long as the ``fit_table`` block lasts.
+    features; ``table`` holds just id and feature vectors in pinned layout,
+    checkpointed, and persisted for as long as the ``fit_table`` block lasts.
     """
 
     customers: DataFrame
@@ -57,7 +57,7 @@ def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
     customers = materialised(df.select(*config.columns))
     model = fit_features(customers, config)
     pinned, partitions = pin_layout(customers.select(*config.fit_cols), config)
-    table = model.transform(pinned).select(config.id_col, RAW, SCALED)
+    table = checkpointed(model.transform(pinned).select(config.id_col, RAW, SCALED))
     with persisted(table):
         yield FitTable(customers, model, table, partitions)
 

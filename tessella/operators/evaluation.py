@@ -45,7 +45,9 @@ def silhouette(df: DataFrame, label: str, features: str = "features") -> float |
     cluster follow from its size, sum and sum of squares, so no pair of rows
     is ever formed.
     """
-    if df.select(label).distinct().limit(2).count() < 2:
+    first = df.select(label).first()
+    # Stops at the first row of another cluster.
+    if first is None or df.filter(F.col(label) != first[0]).isEmpty():
         return None
     return ClusteringEvaluator(
         predictionCol=label,

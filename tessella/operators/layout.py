@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
-from tessella.session import shared_dir
+from tessella.session import scratch_path, shared_dir
 
 # Buckets of the skew check; each task sends at most this many counts.
 SKEW_BUCKETS = 4096
@@ -28,11 +28,25 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """``df`` as files in the shared folder, with its lineage cut.
+    """``df`` as a Parquet table in the shared folder, read back.
 
-    The plan below runs once. What follows, hundreds of passes of iterative
-    fitting, goes back to these files and no further when an executor is lost.
-    Without a shared folder the plan is returned as it is.
+    For a table that several passes read, each its own columns: the plan below
+    runs once, and nothing goes back beyond these files when an executor is
+    lost. Without a shared folder the plan is returned as it is.
+    """
+    spark = df.sparkSession
+    if shared_dir(spark) is None:
+        return df
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder, partition by partition.
+
+    Unlike a table it comes back in the layout it had, which iterative fits
+    need, and every round of a fit starts from a plan of one step.
     """
     if shared_dir(df.sparkSession) is None:
         return df
