@@ -23,7 +23,14 @@ from tessella.operators.evaluation import (
     silhouette,
     sizes_by_k,
 )
-from tessella.operators.features import RAW, SCALED, UNCENTRED, fit_features, uncentred
+from tessella.operators.features import (
+    RAW,
+    SCALED,
+    UNCENTRED,
+    fit_features,
+    fitted_scaler,
+    uncentred,
+)
 from tessella.operators.layout import checkpointed, materialised, persisted, pin_layout
 
 
@@ -32,8 +39,9 @@ class FitTable:
     """Features ready for fitting.
 
     ``customers`` is the materialised input and ``model`` turns it into
-    features; ``table`` holds just id and feature vectors in pinned layout,
-    checkpointed, and persisted for as long as the ``fit_table`` block lasts.
+    features. ``table`` holds just id and feature vectors, in pinned layout:
+    the assembled vectors are checkpointed, and persisted for as long as the
+    ``fit_table`` block lasts; scaling them is cheaper than storing them twice.
     """
 
     customers: DataFrame
@@ -57,16 +65,16 @@ def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
     customers = materialised(df.select(*config.columns))
     model = fit_features(customers, config)
     pinned, partitions = pin_layout(customers.select(*config.fit_cols), config)
-    table = checkpointed(model.transform(pinned).select(config.id_col, RAW, SCALED))
-    with persisted(table):
-        yield FitTable(customers, model, table, partitions)
+    raw = checkpointed(model.transform(pinned).select(config.id_col, RAW))
+    with persisted(raw):
+        yield FitTable(customers, model, fitted_scaler(model).transform(raw), partitions)
 
 
 def fit_kmeans(table: DataFrame, k: int, config: SegmentationConfig) -> KMeansModel:
     """K-Means on the standardised features.
 
-    Selecting the one column lets MLlib hold the vectors in the form its
-    rounds read, rather than decode the persisted table in every round.
+    The column handed over is not itself persisted, so MLlib holds the vectors
+    in the form its rounds read rather than decode a cached table each time.
     """
     return KMeans(
         featuresCol=SCALED, predictionCol="cluster", k=k, seed=config.seed, maxIter=config.max_iter

@@ -74,6 +74,10 @@ def fit_features(df: DataFrame, config: SegmentationConfig) -> PipelineModel:
     return Pipeline(stages=[encoder, assembler(config), scaler()]).fit(df)
 
 
+def fitted_scaler(model: PipelineModel) -> StandardScalerModel:
+    return next(s for s in model.stages if isinstance(s, StandardScalerModel))
+
+
 def uncentred(model: PipelineModel) -> ElementwiseProduct:
     """Scaled but not shifted features, from an already fitted pipeline.
 
@@ -81,8 +85,7 @@ def uncentred(model: PipelineModel) -> ElementwiseProduct:
     them: it splits a cluster by moving its centre in proportion to the
     centre's norm, and centred data has a root centre of about zero.
     """
-    fitted = next(s for s in model.stages if isinstance(s, StandardScalerModel))
-    factors = [1.0 / s if s > 0 else 0.0 for s in fitted.std.toArray()]
+    factors = [1.0 / s if s > 0 else 0.0 for s in fitted_scaler(model).std.toArray()]
     return ElementwiseProduct(
         scalingVec=Vectors.dense(factors), inputCol=RAW, outputCol=UNCENTRED
     )

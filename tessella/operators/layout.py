@@ -53,6 +53,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """A table of one row per cluster or so, computed once and held as is."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def pin_layout(df: DataFrame, config: SegmentationConfig) -> tuple[DataFrame, int]:
     """Rows in a partition and order that depend on the data alone.
 

@@ -7,6 +7,8 @@ instead of a second pass over the customers.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,22 +34,35 @@ def _all_clusters():
     return Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def cluster_profiles(df: DataFrame) -> DataFrame:
-    """Size and feature means per cluster.
-
-    ``country_mode`` and ``gender_mode`` are means of the label index; their
-    names are part of the published table.
-    """
+def _means_by_cluster(df: DataFrame, means: Mapping[str, str]) -> DataFrame:
     return (
         df.groupBy("cluster")
         .agg(
             F.count("*").alias("size"),
-            *[F.mean(column).alias(name) for name, column in PROFILE_MEANS.items()],
+            *[F.mean(column).alias(name) for name, column in means.items()],
         )
         .orderBy("cluster")
     )
 
 
+def cluster_profiles(df: DataFrame) -> DataFrame:
+    """Size and feature means per cluster.
+
+    ``country_mode`` and ``gender_mode`` are means of the label index; their
+    names are part of the published table.
+    """
+    return _means_by_cluster(df, PROFILE_MEANS)
+
+
+def cluster_summary(df: DataFrame, outcome: str = "churn") -> DataFrame:
+    """Profile and churn rate of every cluster in one pass."""
+    return _means_by_cluster(df, {**PROFILE_MEANS, "churn_rate": outcome})
+
+
+def churn_of(summary: DataFrame) -> DataFrame:
+    return summary.select("cluster", F.col("size").alias("total_customers"), "churn_rate")
+
+
 def profile_lookup(profiles: DataFrame, cluster: int) -> DataFrame:
     return profiles.filter(F.col("cluster") == cluster)
 
@@ -97,11 +112,7 @@ def segment_report(profiles: DataFrame) -> DataFrame:
 
 
 def churn_by_cluster(df: DataFrame, outcome: str = "churn") -> DataFrame:
-    return (
-        df.groupBy("cluster")
-        .agg(F.count("*").alias("total_customers"), F.mean(outcome).alias("churn_rate"))
-        .orderBy("cluster")
-    )
+    return churn_of(_means_by_cluster(df, {"churn_rate": outcome}))
 
 
 def churn_percent(churn: DataFrame) -> DataFrame:

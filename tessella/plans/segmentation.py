@@ -17,15 +17,16 @@ from tessella.operators.clustering import (
     fit_table,
     sweep,
 )
+from tessella.operators.layout import gathered
 from tessella.sinks.tables import write_csv, write_parquet
 
 
 @dataclass(frozen=True)
 class Segmentation:
-    """Fitted models and, as lazy DataFrames, everything derived from them.
+    """Fitted models and, as DataFrames, everything derived from them.
 
-    The tables of k rows are cheap aggregates over ``labelled``; ``labelled``
-    is row-wise on the materialised input.
+    ``labelled`` is row-wise on the materialised input. Tables of a row per
+    cluster or k were computed once and are held as they are.
     """
 
     features_model: PipelineModel
@@ -74,9 +75,10 @@ def segment_customers(
         chosen = k or evaluation.best_k(swept.scores).first()["k"]
         model = swept.models.get(chosen) or fit_kmeans(fit.table, chosen, config)
         comparison = compare_algorithms(fit, model, chosen, config)
-        sizes = df.sparkSession.createDataFrame(swept.sizes.collect(), swept.sizes.schema)
+        sizes = gathered(swept.sizes)
     labelled = assign(fit.features, model)
-    profile = profiles.cluster_profiles(labelled)
+    summary = gathered(profiles.cluster_summary(labelled, config.outcome))
+    profile = summary.drop("churn_rate")
     return Segmentation(
         features_model=fit.model,
         model=model,
@@ -92,5 +94,5 @@ def segment_customers(
         profiles=profile,
         names=profiles.segment_names(profile),
         report=profiles.segment_report(profile),
-        churn=profiles.churn_by_cluster(labelled, config.outcome),
+        churn=profiles.churn_of(summary),
     )

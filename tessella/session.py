@@ -31,17 +31,15 @@ def shared_dir(spark: SparkSession) -> str | None:
     cluster a machine-local path would be lost with its machine, so there the
     answer is None.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tessella-")
-        context.setCheckpointDir(folder)
-        return context.getCheckpointDir().rstrip("/")
-    return None
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if named is None and context.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="tessella-")
+        if named is not None:
+            context.setCheckpointDir(named)
+    folder = named or context.getCheckpointDir()
+    return folder.rstrip("/") if folder else None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
