@@ -35,8 +35,8 @@ class SegmentationConfig:
 
     # What to do with a NULL or NaN in a numeric feature: "error" or "skip".
     invalid: str = "error"
-    # Labels of a category live on the driver and in every task, so their
-    # number is checked against this bound before they are gathered.
+    # Labels gathered on the driver and sent to every task, at most, for one
+    # category. A category with more of them is encoded by a join.
     max_labels: int = 100_000
     # Size of one partition of the fitted table. It depends on the data alone,
     # so that a fit does not change with the cluster it runs on.
@@ -52,14 +52,9 @@ class SegmentationConfig:
     def feature_cols(self) -> tuple[str, ...]:
         return self.numeric + self.index_cols
 
-    @property
-    def fit_cols(self) -> tuple[str, ...]:
-        """Everything a fit reads; the outcome is not among it."""
-        return (self.id_col,) + self.numeric + self.categorical
-
     @property
     def columns(self) -> tuple[str, ...]:
-        return self.fit_cols + (self.outcome,)
+        return (self.id_col,) + self.numeric + self.categorical + (self.outcome,)
 
     @property
     def ks(self) -> range:

@@ -59,13 +59,17 @@ class FitTable:
 def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
     """Read ``df`` once and prepare it for any number of fits.
 
-    One shuffle, of the columns a fit reads; encoding, assembling and scaling
-    are row-wise on top of it.
+    One shuffle, of ids and assembled vectors; all else is row-wise.
     """
     customers = materialised(df.select(*config.columns))
     model = fit_features(customers, config)
-    pinned, partitions = pin_layout(customers.select(*config.fit_cols), config)
-    raw = checkpointed(model.transform(pinned).select(config.id_col, RAW))
+    pinned, partitions = pin_layout(
+        model.transform(customers).select(config.id_col, RAW),
+        config.id_col,
+        [config.id_col, vector_to_array(RAW)],
+        config.rows_per_partition,
+    )
+    raw = checkpointed(pinned)
     with persisted(raw):
         yield FitTable(customers, model, fitted_scaler(model).transform(raw), partitions)
 

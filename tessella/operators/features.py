@@ -10,7 +10,6 @@ from pyspark.ml.feature import (
     StandardScaler,
     StandardScalerModel,
     StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -19,33 +18,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
+from tessella.operators.labels import LabelJoin
 
 RAW, SCALED, UNCENTRED = "features_unscaled", "features", "features_uncentred"
 
 
-def check_labels(df: DataFrame, config: SegmentationConfig) -> None:
-    """Refuse a category with more labels than a driver should be given.
+def large_categories(df: DataFrame, config: SegmentationConfig) -> set[str]:
+    """Categories with more labels than a driver should be given.
 
-    A label encoder gathers all labels in one place. The count is a sketch
-    (5 % off at most times), which is enough to tell a category from an id.
+    The count is a sketch (5 % off at most times), close enough for a bound.
     """
     if not config.categorical:
-        return
+        return set()
     row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in config.categorical]).first()
-    large = {c: row[c] for c in config.categorical if row[c] > config.max_labels}
-    if large:
-        raise ValueError(f"more than {config.max_labels} labels, not a category: {large}")
+    return {c for c in config.categorical if row[c] > config.max_labels}
 
 
-def fit_encoder(df: DataFrame, config: SegmentationConfig) -> StringIndexerModel:
-    """All categories in one job. Index 0 is the most frequent label, ties go
-    by name; NULL and unseen labels share the index after the last one."""
-    check_labels(df, config)
-    return StringIndexer(
-        inputCols=list(config.categorical),
-        outputCols=list(config.index_cols),
-        handleInvalid="keep",
-    ).fit(df)
+def encoders(df: DataFrame, config: SegmentationConfig) -> list[StringIndexer | LabelJoin]:
+    """Pipeline stages that put an index next to every category.
+
+    Index 0 is the most frequent label, ties go by name; NULL and unseen labels
+    share the index after the last one. ``StringIndexer`` does all ordinary
+    categories in one job, gathering their labels; larger ones stay in a table.
+    """
+    large = large_categories(df, config)
+    outputs = dict(zip(config.categorical, config.index_cols))
+    small = [c for c in config.categorical if c not in large]
+    indexer = StringIndexer(
+        inputCols=small, outputCols=[outputs[c] for c in small], handleInvalid="keep"
+    )
+    joins = [LabelJoin(df, c, outputs[c]) for c in config.categorical if c in large]
+    return joins + ([indexer] if small else [])
+
+
+def fit_encoder(df: DataFrame, config: SegmentationConfig) -> PipelineModel:
+    return Pipeline(stages=encoders(df, config)).fit(df)
 
 
 def assembler(config: SegmentationConfig) -> VectorAssembler:
@@ -65,13 +72,7 @@ def fit_features(df: DataFrame, config: SegmentationConfig) -> PipelineModel:
     Reads ``df`` twice (the scaler needs the encoder's indices), so give it a
     table that is cheap to read again.
     """
-    check_labels(df, config)
-    encoder = StringIndexer(
-        inputCols=list(config.categorical),
-        outputCols=list(config.index_cols),
-        handleInvalid="keep",
-    )
-    return Pipeline(stages=[encoder, assembler(config), scaler()]).fit(df)
+    return Pipeline(stages=[*encoders(df, config), assembler(config), scaler()]).fit(df)
 
 
 def fitted_scaler(model: PipelineModel) -> StandardScalerModel:

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from math import ceil
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.config import SegmentationConfig
 from tessella.session import scratch_path, shared_dir
 
 # Buckets of the skew check; each task sends at most this many counts.
@@ -58,7 +57,9 @@ def gathered(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
-def pin_layout(df: DataFrame, config: SegmentationConfig) -> tuple[DataFrame, int]:
+def pin_layout(
+    df: DataFrame, id_col: str, order: Sequence[Column | str], rows_per_partition: int
+) -> tuple[DataFrame, int]:
     """Rows in a partition and order that depend on the data alone.
 
     K-Means samples its first centres and adds up its sums per partition, so a
@@ -69,11 +70,9 @@ def pin_layout(df: DataFrame, config: SegmentationConfig) -> tuple[DataFrame, in
 
     Returns the table and its number of partitions.
     """
-    buckets = df.groupBy(F.pmod(F.hash(config.id_col), F.lit(SKEW_BUCKETS))).agg(
-        F.count("*").alias("n")
-    )
+    buckets = df.groupBy(F.pmod(F.hash(id_col), F.lit(SKEW_BUCKETS))).agg(F.count("*").alias("n"))
     rows, fullest = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
-    n = max(1, ceil(rows / config.rows_per_partition))
-    hot = rows > 0 and fullest - rows / SKEW_BUCKETS > config.rows_per_partition
-    spread = df.repartition(n) if hot else df.repartition(n, config.id_col)
-    return spread.sortWithinPartitions(*config.fit_cols), n
+    n = max(1, ceil(rows / rows_per_partition))
+    hot = rows > 0 and fullest - rows / SKEW_BUCKETS > rows_per_partition
+    spread = df.repartition(n) if hot else df.repartition(n, id_col)
+    return spread.sortWithinPartitions(*order), n

@@ -81,8 +81,7 @@ def test_a_fit_does_not_depend_on_the_input_layout(customers, model):
 
 
 def test_many_partitions_hold_every_row_once(customers):
-    config = SegmentationConfig(rows_per_partition=100)
-    table, n = pin_layout(customers, config)
+    table, n = pin_layout(customers, "customer_id", ["customer_id"], 100)
     assert n == 15 and table.rdd.getNumPartitions() == 15
     assert table.select("customer_id").distinct().count() == table.count() == 1500
 
@@ -91,7 +90,7 @@ def test_a_hot_id_is_spread(customers):
     hot = customers.withColumn(
         "customer_id", F.expr("CASE WHEN customer_id % 3 = 0 THEN 7 ELSE customer_id END")
     )
-    table, n = pin_layout(hot, SegmentationConfig(rows_per_partition=100))
+    table, n = pin_layout(hot, "customer_id", ["customer_id", "age"], 100)
     sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
     assert n == 15 and sum(sizes) == 1500 and max(sizes) <= 150
 

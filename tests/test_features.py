@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tessella.operators.features import (
     fit_features,
     uncentred,
 )
+from tessella.operators.labels import LabelJoin
 
 ONE = SegmentationConfig(numeric=("x",), categorical=("label",), invalid="error")
 
@@ -20,17 +22,49 @@ ONE = SegmentationConfig(numeric=("x",), categorical=("label",), invalid="error"
 def test_labels_by_frequency_then_name(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "label string")
     model = fit_encoder(df, ONE)
-    assert model.labelsArray == [["c", "a", "b"]] or list(model.labelsArray[0]) == ["c", "a", "b"]
     unseen = spark.createDataFrame([("z",)], "label string")
     got = [r["label_index"] for r in model.transform(df.union(unseen)).collect()]
     assert got == [2.0, 1.0, 0.0, 0.0, 3.0, 3.0]
 
 
-def test_too_many_labels_are_refused(spark):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("label"))
-    config = SegmentationConfig(numeric=(), categorical=("label",), max_labels=100)
-    with pytest.raises(ValueError, match="label"):
-        fit_encoder(df, config)
+def test_many_labels_are_ranked_in_a_table(spark):
+    """Encoding by join gives StringIndexer's indices, a hot label included."""
+    df = (
+        spark.range(3000)
+        .repartition(5)
+        .select(
+            F.col("id").alias("customer_id"),
+            F.when(F.col("id") % 3 == 0, "hot")
+            .when(F.col("id") % 31 != 0, F.concat(F.lit("label "), F.col("id") % 613))
+            .alias("label"),
+        )
+    )
+    rows = {}
+    for bound in (100, 100_000):
+        config = SegmentationConfig(numeric=(), categorical=("label",), max_labels=bound)
+        model = fit_encoder(df, config)
+        assert isinstance(model.stages[0], LabelJoin) == (bound == 100)
+        rows[bound] = sorted(model.transform(df).select("customer_id", "label_index").collect())
+    assert len(rows[100]) == 3000
+    assert rows[100] == rows[100_000]
+
+
+def test_a_fit_with_one_large_category(spark):
+    from tessella.operators.clustering import fit_table
+
+    df = spark.range(60).select(
+        F.col("id").alias("customer_id"),
+        (F.col("id") % 7).cast("double").alias("x"),
+        F.concat(F.lit("l"), F.col("id") % 20).alias("many"),
+        F.concat(F.lit("l"), F.col("id") % 2).alias("few"),
+        F.lit(0).alias("churn"),
+    )
+    tables = []
+    for bound in (5, 100):
+        config = SegmentationConfig(numeric=("x",), categorical=("many", "few"), max_labels=bound)
+        with fit_table(df, config) as fit:
+            tables.append([list(r[SCALED]) for r in fit.table.collect()])
+    assert np.allclose(tables[0], tables[1])
 
 
 def test_standardise_with_sample_deviation_and_constant_column(spark):
