@@ -275,6 +275,8 @@ MISSING = (
 
 ORACLES: dict[str, str] = {
     "scan_csv": _with(CUSTOMERS) + f"SELECT {COLUMNS} FROM customers",
+    "scan_csv_inferred": _with(CUSTOMERS)
+    + "SELECT * REPLACE (CAST(customer_id AS INTEGER) AS customer_id) FROM customers",
     "row_count": _with(CUSTOMERS) + "SELECT count(*) AS n_rows FROM customers",
     "schema_report": _with(CUSTOMERS)
     + f"""SELECT position, column_name, type, 12 AS n_columns,
@@ -284,6 +286,12 @@ FROM (VALUES {_types()}) t(position, column_name, type)""",
     + f"SELECT {COLUMNS} FROM customers ORDER BY customer_id LIMIT 5",
     "describe_numeric": _with(CUSTOMERS)
     + "\nUNION ALL ".join(SUMMARY.format(c=c, source="customers") for c in NUMBERS),
+    "describe_strings": _with(CUSTOMERS, DIRTY)
+    + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS count, min({c}) AS min, max({c}) AS max"
+        " FROM dirty"
+        for c in ("country", "gender")
+    ),
     "non_null_counts": _with(CUSTOMERS, DIRTY)
     + "SELECT "
     + ", ".join(f"count({c}) AS {c}" for c in NAMES)

@@ -87,6 +87,12 @@ def scan_csv(spark, folder):
     return read_customers_csv(spark, path)
 
 
+def scan_csv_inferred(spark, folder):
+    path = scratch_path(spark, "customers_csv")
+    write_csv(bank_customers(spark, folder), path)
+    return read_customers_csv(spark, path, schema=None)
+
+
 def row_count(spark, folder):
     return inspection.row_count(bank_customers(spark, folder))
 
@@ -103,6 +109,10 @@ def describe_numeric(spark, folder):
     return rounded(inspection.describe_numeric(bank_customers(spark, folder)), "mean", "stddev")
 
 
+def describe_strings(spark, folder):
+    return inspection.describe_strings(dirty_customers(spark, folder))
+
+
 # Quality ----------------------------------------------------------------------
 
 
@@ -322,7 +332,9 @@ def bisecting_kmeans(spark, folder):
 def compare_algorithms(spark, folder):
     with clustering.fit_table(bank_customers(spark, folder), CONFIG) as fit:
         model = clustering.fit_kmeans(fit.table, K, CONFIG)
-        return clustering.compare_algorithms(fit, model, K, CONFIG)
+        labelled = clustering.assign(fit.table, model)
+        score = evaluation.silhouette(labelled, "cluster", SCALED)
+        return clustering.compare_algorithms(fit, score, K, CONFIG)
 
 
 def segmentation_job(spark, folder):
@@ -331,10 +343,12 @@ def segmentation_job(spark, folder):
 
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
+    "scan_csv_inferred": scan_csv_inferred,
     "row_count": row_count,
     "schema_report": schema_report,
     "head_records": head_records,
     "describe_numeric": describe_numeric,
+    "describe_strings": describe_strings,
     "non_null_counts": non_null_counts,
     "missing_values": missing_values,
     "missing_columns": missing_columns,

@@ -129,7 +129,10 @@ def centres_table(df: DataFrame, model: KMeansModel, names: Sequence[str]) -> Da
 
 @dataclass(frozen=True)
 class Sweep:
+    """Models and scores by k, the scores also as a table, and cluster sizes."""
+
     models: Mapping[int, KMeansModel]
+    score_of: Mapping[int, float | None]
     scores: DataFrame
     sizes: DataFrame
 
@@ -158,23 +161,25 @@ def sweep(fit: FitTable, config: SegmentationConfig) -> Sweep:
     labels, labelled = label_names(config.ks), fit.table
     for k, model, _ in runs:
         labelled = assign(labelled, model, labels[k])
+    score_of = {k: score for k, _, score in runs}
     return Sweep(
         models={k: model for k, model, _ in runs},
-        scores=spark.createDataFrame([(k, score) for k, _, score in runs], SCORES),
+        score_of=score_of,
+        scores=spark.createDataFrame(list(score_of.items()), SCORES),
         sizes=sizes_by_k(labelled, labels),
     )
 
 
 def compare_algorithms(
-    fit: FitTable, kmeans: KMeansModel, k: int, config: SegmentationConfig
+    fit: FitTable, kmeans_score: float | None, k: int, config: SegmentationConfig
 ) -> DataFrame:
-    """Silhouettes of K-Means and Bisecting K-Means for the same k."""
+    """K-Means, whose silhouette is known, against Bisecting K-Means for the same k."""
     bisecting = fit_bisecting(fit.table, fit.model, k, config)
-    labelled = {
-        "kmeans": assign(fit.table, kmeans),
-        "bisecting_kmeans": assign_bisecting(fit.table, fit.model, bisecting),
-    }
-    scores = [(name, silhouette(df, "cluster", SCALED)) for name, df in labelled.items()]
+    labelled = assign_bisecting(fit.table, fit.model, bisecting)
+    scores = [
+        ("kmeans", kmeans_score),
+        ("bisecting_kmeans", silhouette(labelled, "cluster", SCALED)),
+    ]
     spark = fit.table.sparkSession
     return compare(spark.createDataFrame(scores, "algorithm string, silhouette_score double"))
 

@@ -53,3 +53,17 @@ def describe_numeric(df: DataFrame) -> DataFrame:
     )
     long = summary.unpivot([], columns, "column_name", "s")
     return long.select("column_name", "s.count", "s.mean", "s.stddev", "s.min", "s.max")
+
+
+def describe_strings(df: DataFrame) -> DataFrame:
+    """Count and first and last value, in string order, of every string column."""
+    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    summary = df.agg(
+        *[
+            F.struct(F.count(c).alias("count"), F.min(c).alias("min"), F.max(c).alias("max")).alias(c)
+            for c in columns
+        ]
+    )
+    return summary.unpivot([], columns, "column_name", "s").select(
+        "column_name", "s.count", "s.min", "s.max"
+    )

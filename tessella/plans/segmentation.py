@@ -17,6 +17,7 @@ from tessella.operators.clustering import (
     fit_table,
     sweep,
 )
+from tessella.operators.features import SCALED
 from tessella.operators.layout import gathered
 from tessella.sinks.tables import write_csv, write_parquet
 
@@ -73,8 +74,12 @@ def segment_customers(
     with fit_table(df, config) as fit:
         swept = sweep(fit, config)
         chosen = k or evaluation.best_k(swept.scores).first()["k"]
-        model = swept.models.get(chosen) or fit_kmeans(fit.table, chosen, config)
-        comparison = compare_algorithms(fit, model, chosen, config)
+        if chosen in swept.models:
+            model, score = swept.models[chosen], swept.score_of[chosen]
+        else:
+            model = fit_kmeans(fit.table, chosen, config)
+            score = evaluation.silhouette(assign(fit.table, model), "cluster", SCALED)
+        comparison = compare_algorithms(fit, score, chosen, config)
         sizes = gathered(swept.sizes)
     labelled = assign(fit.features, model)
     summary = gathered(profiles.cluster_summary(labelled, config.outcome))
