@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,27 +51,37 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 # Inputs -----------------------------------------------------------------------
 
 
-def features(spark: SparkSession, folder: str) -> DataFrame:
-    """All customers with standardised features."""
+def prepared(spark: SparkSession, folder: str) -> tuple[DataFrame, PipelineModel]:
+    """All customers, and the fitted model that gives them features."""
     customers = materialised(bank_customers(spark, folder))
-    return fit_features(customers, CONFIG).transform(customers)
+    return customers, fit_features(customers, CONFIG)
+
+
+def features(spark: SparkSession, folder: str) -> DataFrame:
+    customers, model = prepared(spark, folder)
+    return model.transform(customers)
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     """All customers, labelled with the nearest of the first K seeds."""
-    df = features(spark, folder)
-    return clustering.assign_to_centres(df, clustering.vectors_of(df, ID, SEEDS[:K]))
+    customers, model = prepared(spark, folder)
+    centres = clustering.vectors_of(customers, model, ID, SEEDS[:K])
+    return clustering.assign_to_centres(model.transform(customers), centres)
 
 
-def seeded_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Silhouettes for every k, the first k seeds being the centres."""
-    df = features(spark, folder)
-    centres = clustering.vectors_of(df, ID, SEEDS)
+def labelled_by_k(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[int, str]]:
+    """All customers with a label per k, the first k seeds being the centres."""
+    customers, model = prepared(spark, folder)
+    centres = clustering.vectors_of(customers, model, ID, SEEDS)
     labels = clustering.label_names(CONFIG.ks)
-    for k, label in labels.items():
-        df = clustering.assign_to_centres(df, centres[:k], label)
+    return clustering.assign_to_first(model.transform(customers), centres, labels), labels
+
+
+def seeded_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Silhouettes of ``labelled_by_k``."""
+    df, labels = labelled_by_k(spark, folder)
     with persisted(df.select(SCALED, *labels.values())) as scored:
-        at_once = evaluation.idle_slots(spark, 1)
+        at_once = evaluation.idle_slots(spark, scored.rdd.getNumPartitions())
         return evaluation.score_labels(scored, labels, SCALED, at_once)
 
 
@@ -172,8 +183,9 @@ def assign_clusters(spark, folder):
 
 
 def kmeans_lloyd_step(spark, folder):
-    with persisted(features(spark, folder).select(ID, SCALED)) as df:
-        centres = clustering.vectors_of(df, ID, SEEDS[:K])
+    customers, model = prepared(spark, folder)
+    centres = clustering.vectors_of(customers, model, ID, SEEDS[:K])
+    with persisted(model.transform(customers).select(ID, SCALED)) as df:
         moved = clustering.lloyd_rounds(df, centres, ROUNDS)
     rows = [
         (cluster, name, value)
@@ -194,12 +206,7 @@ def cluster_sizes(spark, folder):
 
 
 def sizes_by_k(spark, folder):
-    df = features(spark, folder)
-    centres = clustering.vectors_of(df, ID, SEEDS)
-    labels = clustering.label_names(CONFIG.ks)
-    for k, label in labels.items():
-        df = clustering.assign_to_centres(df, centres[:k], label)
-    return evaluation.sizes_by_k(df, labels)
+    return evaluation.sizes_by_k(*labelled_by_k(spark, folder))
 
 
 def best_k(spark, folder):

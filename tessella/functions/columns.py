@@ -56,26 +56,39 @@ def segment_name(
     )
 
 
-def squared_distance(x: Column, y: Column) -> Column:
-    """Squared Euclidean distance of two double arrays."""
-    squares = F.zip_with(x, y, lambda a, b: (a - b) * (a - b))
+# Terms up to which distances are written out one by one. Beyond it the
+# generated code would outgrow what the JVM compiles.
+UNROLLED_TERMS = 1000
+
+
+def _unrolled_distance(x: Column, centre: Sequence[float]) -> Column:
+    differences = [F.get(x, F.lit(i)) - F.lit(float(v)) for i, v in enumerate(centre)]
+    return sum((d * d for d in differences[1:]), differences[0] * differences[0])
+
+
+def _looped_distance(x: Column, centre: Sequence[float]) -> Column:
+    at = F.lit([float(v) for v in centre])
+    squares = F.zip_with(x, at, lambda a, b: (a - b) * (a - b))
     return F.aggregate(squares, F.lit(0.0), lambda total, square: total + square)
 
 
-def nearest_centre(x: Column, centres: Sequence[Sequence[float]]) -> Column:
-    """Number of the nearest of ``centres``, the lowest one on a tie.
+def centre_distances(x: Column, centres: Sequence[Sequence[float]]) -> Column:
+    """Squared distances of a double array to each centre, with its number.
 
-    The centres are literals of the plan (k x d numbers), so a row is labelled
-    where it lies: no join, no shuffle, no row multiplied.
+    The centres are literals of the plan (k x d numbers), so a row is compared
+    where it lies: no join, no shuffle, no row multiplied. ``x`` should be a
+    plain column, as it is referred to once per term.
     """
-    table = F.array(
+    terms = len(centres) * max((len(c) for c in centres), default=0)
+    distance = _unrolled_distance if terms <= UNROLLED_TERMS else _looped_distance
+    return F.array(
         *[
-            F.struct(F.lit(number).alias("cluster"), F.lit([float(v) for v in centre]).alias("at"))
+            F.struct(distance(x, centre).alias("distance"), F.lit(number).alias("cluster"))
             for number, centre in enumerate(centres)
         ]
     )
-    scored = F.transform(
-        table,
-        lambda c: F.struct(squared_distance(x, c["at"]).alias("distance"), c["cluster"]),
-    )
-    return F.array_min(scored)["cluster"]
+
+
+def nearest(distances: Column) -> Column:
+    """Number of the nearest centre, the lowest one on a tie."""
+    return F.array_min(distances)["cluster"]

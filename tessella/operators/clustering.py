@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
-from tessella.functions.columns import nearest_centre
+from tessella.functions.columns import centre_distances, nearest
 from tessella.operators.evaluation import (
     SCORES,
     compare,
@@ -184,10 +184,16 @@ def compare_algorithms(
     return compare(spark.createDataFrame(scores, "algorithm string, silhouette_score double"))
 
 
-def vectors_of(df: DataFrame, id_col: str, ids: Sequence[int]) -> list[list[float]]:
-    """Feature vectors of the given ids, in their order, to serve as centres."""
+def vectors_of(
+    customers: DataFrame, model: PipelineModel, id_col: str, ids: Sequence[int]
+) -> list[list[float]]:
+    """Feature vectors of the given ids, in their order, to serve as centres.
+
+    The filter comes before the features, as it would not pass below MLlib's
+    assembler; here it reaches the scan.
+    """
     rows = (
-        df.filter(F.col(id_col).isin(list(ids)))
+        model.transform(customers.filter(F.col(id_col).isin(list(ids))))
         .groupBy(id_col)
         .agg(F.first(vector_to_array(SCALED)).alias("at"))
         .collect()
@@ -196,11 +202,30 @@ def vectors_of(df: DataFrame, id_col: str, ids: Sequence[int]) -> list[list[floa
     return [found[i] for i in ids if i in found]
 
 
+def _with_distances(df: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    # The array is a column of its own, so that it is made once per row.
+    return df.withColumn("_at", vector_to_array(SCALED)).withColumn(
+        "_distances", centre_distances(F.col("_at"), centres)
+    )
+
+
 def assign_to_centres(
     df: DataFrame, centres: Sequence[Sequence[float]], label: str = "cluster"
 ) -> DataFrame:
     """Label every row with the nearest of the given centres."""
-    return df.withColumn(label, nearest_centre(vector_to_array(SCALED), centres))
+    labelled = _with_distances(df, centres).withColumn(label, nearest(F.col("_distances")))
+    return labelled.drop("_at", "_distances")
+
+
+def assign_to_first(
+    df: DataFrame, centres: Sequence[Sequence[float]], labels: Mapping[int, str]
+) -> DataFrame:
+    """One label column per k: the nearest of the first k centres.
+
+    Distances are computed once; each k takes the least of its own.
+    """
+    firsts = {label: nearest(F.slice("_distances", 1, k)) for k, label in labels.items()}
+    return _with_distances(df, centres).withColumns(firsts).drop("_at", "_distances")
 
 
 def lloyd_rounds(

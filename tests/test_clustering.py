@@ -196,11 +196,26 @@ def test_nearest_centre_takes_the_lowest_on_a_tie(spark):
     assert [r["cluster"] for r in got] == [1, 1]
 
 
+def test_written_out_and_looped_distances_agree(spark, fit, monkeypatch):
+    from tessella.functions import columns
+
+    centres = clustering.vectors_of(fit.customers, fit.model, "customer_id", range(6))
+    labels = clustering.label_names(range(2, 7))
+    rows = []
+    for limit in (1000, 0):
+        monkeypatch.setattr(columns, "UNROLLED_TERMS", limit)
+        df = clustering.assign_to_first(fit.table, centres, labels)
+        rows.append(sorted(df.select("customer_id", *labels.values()).collect()))
+    assert rows[0] == rows[1]
+    points, found = vectors(df, labels[4])
+    assert (nearest(points, np.array(centres[:4])) == found).all()
+
+
 def test_lloyd_rounds_are_those_of_mllib(spark, fit):
     from pyspark.mllib.clustering import KMeans, KMeansModel
     from pyspark.mllib.linalg import Vectors as OldVectors
 
-    start = clustering.vectors_of(fit.features, "customer_id", range(K))
+    start = clustering.vectors_of(fit.customers, fit.model, "customer_id", range(K))
     ours = clustering.lloyd_rounds(fit.table, start, 3)
     rdd = fit.table.select(SCALED).rdd.map(lambda r: OldVectors.dense(r[0].toArray()))
     theirs = KMeans.train(
