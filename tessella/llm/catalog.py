@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe_codec, graph_search, token_counts
+from tessella.llm import bpe_codec, graph_search, mixing, near_dedup, quality, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op1_graph_search(spark, folder):
     return graph_search.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op2_url_rules(spark, folder):
+    return url_rules.judge(table(spark, folder, "pages"))
+
+
 def op3_bpe_codec(spark, folder):
     return bpe_codec.code_digests(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -36,9 +40,25 @@ def op5_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_near_dedup(spark, folder):
+    return near_dedup.groups(table(spark, folder, "documents"))
+
+
+def op9_mixing(spark, folder):
+    return mixing.plan(table(spark, folder, "documents"))
+
+
+def op10_quality(spark, folder):
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_graph_search": op1_graph_search,
+    "op2_url_rules": op2_url_rules,
     "op3_bpe_codec": op3_bpe_codec,
     "op5_token_counts": op5_token_counts,
+    "op8_near_dedup": op8_near_dedup,
+    "op9_mixing": op9_mixing,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
