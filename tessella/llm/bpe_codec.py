@@ -15,6 +15,7 @@ import hashlib
 import json
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -248,14 +249,17 @@ def encode(model: BpeModel, text: str) -> Iterator[list[int]]:
     yield from encoder.finish()
 
 
-def digest(model: BpeModel, text: str) -> tuple[int, str, str]:
-    """Number of tokens, SHA-256 of the ids and of the decoded text, run by run."""
+def digest(model: BpeModel, text: str, tokens: list[int] | None = None) -> tuple[int, str, str]:
+    """Number of tokens, SHA-256 of the ids and of the decoded text, run by run.
+    ``tokens``: a list that takes the ids, if they are wanted."""
     ids, decoded, decoder, n = hashlib.sha256(), hashlib.sha256(), Decoder(model), 0
     for run in encode(model, text):
         if run:
             ids.update(("," * (n > 0) + ",".join(map(model.decimal.__getitem__, run))).encode())
             decoded.update(decoder.feed(run).encode())
             n += len(run)
+            if tokens is not None:
+                tokens += run
     decoded.update(decoder.finish().encode())
     return n, ids.hexdigest(), decoded.hexdigest()
 
@@ -317,3 +321,26 @@ def code_digests(docs: DataFrame, file: str) -> DataFrame:
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def tokenised(docs: DataFrame, file: str) -> DataFrame:
+    """All columns of ``docs`` but the text, its tokens in their place: n_tokens, tokens,
+    and decoded_sha256 of the text that the tokens give back.
+
+    A null text counts as empty. Columns of these names in the input give way.
+    """
+
+    @F.pandas_udf("n_tokens long, tokens array<int>, decoded_sha256 string")
+    def code(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = loaded(file)
+        for batch in texts:
+            rows = []
+            for text in batch:
+                ids: list[int] = []
+                n, _, decoded = digest(model, text, ids)
+                rows.append((n, np.array(ids, np.int32), decoded))
+            yield pd.DataFrame(rows, columns=["n_tokens", "tokens", "decoded_sha256"])
+
+    coded = docs.withColumn("coded", code(F.coalesce("text", F.lit(""))))
+    kept = [c for c in docs.columns if c not in ("text", "n_tokens", "tokens", "decoded_sha256")]
+    return coded.select(*kept, "coded.n_tokens", "coded.tokens", "coded.decoded_sha256")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe_codec, graph_search, mixing, near_dedup, quality, token_counts, url_rules
+from tessella.llm import bpe_codec, graph_search, mixing, near_dedup, pii, quality, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op3_bpe_codec(spark, folder):
     return bpe_codec.code_digests(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_pii(spark, folder):
+    return pii.span_digests(table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op1_graph_search": op1_graph_search,
     "op2_url_rules": op2_url_rules,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_pii": op4_pii,
     "op5_token_counts": op5_token_counts,
     "op8_near_dedup": op8_near_dedup,
     "op9_mixing": op9_mixing,

@@ -269,3 +269,10 @@ def groups(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
     rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return rows.withColumn("kept", kept)
+
+
+def one_of_each(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
+    """The documents, all columns, without those of which a smaller id is kept."""
+    found = groups(docs, settings).where("doc_id IS NOT NULL")
+    gone = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id"), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -191,6 +191,23 @@ def fit(stats: DataFrame, labels: DataFrame, settings: QualitySettings = SETTING
     return QualityModel(**{**model.__dict__, "bounds": bounds, "shares": np.clip(shares, 0, 1)})
 
 
+def accepted(docs: DataFrame, labels: DataFrame, settings: QualitySettings = SETTINGS) -> DataFrame:
+    """The documents, all columns, whose score reaches the threshold.
+
+    The score is computed beside each row: nothing is joined or shuffled for it, and
+    rows that repeat an id or have none are judged by their own text.
+    """
+    model = fit(written(measured(docs), "statistics"), labels, settings)
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            stats = np.array([statistics(x) for x in batch]).reshape(-1, N_STATISTICS)
+            yield pd.Series(model.score(stats) if model else np.full(len(batch), 0.5))
+
+    return docs.where(score(F.coalesce("text", F.lit(""))) >= settings.threshold)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: QualitySettings = SETTINGS) -> DataFrame:
     """doc_id, held_out, score, predicted of every whole text.
 
