@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe_codec, graph_search, lm_score, mixing, near_dedup, pii, quality, token_counts, url_rules
+from tessella.llm import bm25_search, bpe_codec, graph_search, lm_score, mixing, near_dedup, pii, quality, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,11 @@ def op5_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op6_bm25_search(spark, folder):
+    docs = table(spark, folder, "documents")
+    return bm25_search.top_k(docs, docs.where(F.col("doc_id") % 20 == 0), k=10)
+
+
 def op7_lm_score(spark, folder):
     return lm_score.scores(table(spark, folder, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op3_bpe_codec": op3_bpe_codec,
     "op4_pii": op4_pii,
     "op5_token_counts": op5_token_counts,
+    "op6_bm25_search": op6_bm25_search,
     "op7_lm_score": op7_lm_score,
     "op8_near_dedup": op8_near_dedup,
     "op9_mixing": op9_mixing,
