@@ -6,6 +6,7 @@ tables, built from the blocks below. Fitted models have no entry here.
 
 from __future__ import annotations
 
+# Fixed values, stated here again so that the SQL stands on its own.
 FEATURES = (
     "credit_score",
     "age",
@@ -199,6 +200,7 @@ at_{i + 1} AS (
 
 # Profiles ---------------------------------------------------------------------
 
+# Names and thresholds of the segment rules, and the profile columns.
 PROFILES = """
 profiles AS (
   SELECT cluster, count(*) AS size,
@@ -273,6 +275,9 @@ MISSING = (
 )
 
 
+BY_COUNTRY = """SELECT customer_id, min(customer_id) OVER (PARTITION BY country) AS first_member,
+       count(*) OVER (PARTITION BY country) AS size FROM customers"""
+
 ORACLES: dict[str, str] = {
     "scan_csv": _with(CUSTOMERS) + f"SELECT {COLUMNS} FROM customers",
     "scan_csv_inferred": _with(CUSTOMERS)
@@ -374,4 +379,19 @@ FROM labelled""",
     "sink_profiles": _with(*PROFILE_TABLE) + f"SELECT {PROFILE_COLUMNS} FROM profiles",
     "sink_churn": _with(*CHURN_TABLE) + "SELECT * FROM churned",
     "sink_clustered": _with(*LABELLED_TABLE) + f"SELECT {LABELLED_COLUMNS} FROM labelled",
+    "sink_clustered_csv": _with(*LABELLED_TABLE) + f"SELECT {LABELLED_COLUMNS} FROM labelled",
+    "standardize_dirty": _with(CUSTOMERS, DIRTY, _encoded("dirty"), COMPLETE, SCALED)
+    + _long("scaled", "round({f}, 6) + 0.0"),
+    "left_out": _with(CUSTOMERS, DIRTY)
+    + "SELECT (count(*) - count_if(bad))::BIGINT AS clustered, count_if(bad)::BIGINT AS left_out FROM (SELECT "
+    + " OR ".join(f"{c} IS NULL" for c in NUMERIC)
+    + " AS bad FROM dirty)",
+    "kmeans_by_country": _with(CUSTOMERS) + BY_COUNTRY,
+    "bisecting_by_country": _with(CUSTOMERS) + BY_COUNTRY,
+    # Each customer lies on its cluster's centre: the best possible score, first reached
+    # with as many clusters as there are countries; the tie goes to Bisecting K-Means.
+    "sweep_by_country": _with(CUSTOMERS)
+    + "SELECT count(DISTINCT country)::INTEGER AS k, 1.0::DOUBLE AS silhouette_score FROM customers",
+    "compare_by_country": """SELECT 1.0::DOUBLE AS kmeans, 1.0::DOUBLE AS bisecting_kmeans,
+       'bisecting_kmeans' AS winner, 0.0::DOUBLE AS delta""",
 }

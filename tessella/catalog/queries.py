@@ -9,6 +9,7 @@ the queries use the "skip" policy: such a customer has no features to cluster.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from tessella.operators.features import (
     wide_form,
 )
 from tessella.operators.layout import materialised, persisted
-from tessella.plans.segmentation import segment_customers
+from tessella.plans.segmentation import run_job
 from tessella.session import scratch_path
 from tessella.sinks.tables import write_csv, write_parquet
 from tessella.sources.customers import read_customers_csv, read_customers_parquet
@@ -81,8 +82,7 @@ def seeded_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Silhouettes of ``labelled_by_k``."""
     df, labels = labelled_by_k(spark, folder)
     with persisted(df.select(SCALED, *labels.values())) as scored:
-        at_once = evaluation.idle_slots(spark, scored.rdd.getNumPartitions())
-        return evaluation.score_labels(scored, labels, SCALED, at_once)
+        return evaluation.score_labels(scored, labels, SCALED, CONFIG.parallelism)[0]
 
 
 def labelled_profiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,8 +197,8 @@ def kmeans_lloyd_step(spark, folder):
 
 
 def silhouette_score(spark, folder):
-    df = labelled(spark, folder).select(SCALED, "cluster")
-    return rounded(evaluation.score_labels(df, {K: "cluster"}, SCALED), "silhouette_score")
+    with persisted(labelled(spark, folder).select(SCALED, "cluster")) as df:
+        return rounded(evaluation.score_labels(df, {K: "cluster"}, SCALED)[0], "silhouette_score")
 
 
 def cluster_sizes(spark, folder):
@@ -309,6 +309,69 @@ def sink_clustered(spark, folder):
     return read_customers_parquet(spark, path)
 
 
+def sink_clustered_csv(spark, folder):
+    path = scratch_path(spark, "clustered_customers_csv")
+    table = profiles.clustered_customers(labelled(spark, folder))
+    write_csv(table, path)
+    return spark.read.schema(table.schema).option("header", True).csv(path)
+
+
+# NULLs through the chain: customers without a feature are left out, and counted --
+
+
+def dirty_features(spark: SparkSession, folder: str) -> DataFrame:
+    customers = materialised(dirty_customers(spark, folder))
+    return fit_features(customers, CONFIG).transform(customers)
+
+
+def standardize_dirty(spark, folder):
+    df = long_form(dirty_features(spark, folder), ID, SCALED, CONFIG.feature_cols)
+    return rounded(df, "value")
+
+
+def left_out(spark, folder):
+    customers = materialised(dirty_customers(spark, folder))
+    return quality.left_out(customers, CONFIG.numeric)
+
+
+# Fits whose answer is unique: with country as the only feature, a fit with as many
+# clusters as countries has one per country, whatever its start.
+BY_COUNTRY = replace(CONFIG, numeric=(), categorical=("country",), min_k=4, max_k=6)
+COUNTRIES = 5
+
+
+def first_members(df: DataFrame) -> DataFrame:
+    """Clusters named by their smallest customer, as their numbers are arbitrary."""
+    first = df.groupBy("cluster").agg(F.min(ID).alias("first_member"), F.count("*").alias("size"))
+    return df.select(ID, "cluster").join(first, "cluster").select(ID, "first_member", "size")
+
+
+def kmeans_by_country(spark, folder):
+    with clustering.fit_table(bank_customers(spark, folder), BY_COUNTRY) as fit:
+        model = clustering.fit_kmeans(fit.table, COUNTRIES, BY_COUNTRY)
+    return first_members(clustering.assign(fit.features, model))
+
+
+def bisecting_by_country(spark, folder):
+    with clustering.fit_table(bank_customers(spark, folder), BY_COUNTRY) as fit:
+        model = clustering.fit_bisecting(fit.table, fit.model, COUNTRIES, BY_COUNTRY)
+    return first_members(clustering.assign_bisecting(fit.features, fit.model, model))
+
+
+def sweep_by_country(spark, folder):
+    with clustering.fit_table(bank_customers(spark, folder), BY_COUNTRY) as fit:
+        scores = clustering.sweep(fit, BY_COUNTRY).scores
+    return rounded(evaluation.best_k(scores), "silhouette_score")
+
+
+def compare_by_country(spark, folder):
+    with clustering.fit_table(bank_customers(spark, folder), BY_COUNTRY) as fit:
+        model = clustering.fit_kmeans(fit.table, COUNTRIES, BY_COUNTRY)
+        score = evaluation.silhouette(clustering.assign(fit.table, model), "cluster", SCALED)
+        compared = clustering.compare_algorithms(fit, score, COUNTRIES, BY_COUNTRY)
+    return rounded(compared, "kmeans", "bisecting_kmeans", "delta")
+
+
 # Fitted models: no SQL says what they find, tests check what must hold --------
 
 
@@ -345,7 +408,10 @@ def compare_algorithms(spark, folder):
 
 
 def segmentation_job(spark, folder):
-    return segment_customers(bank_customers(spark, folder), CONFIG).report
+    """The whole job: from CSV files to the four saved tables and the report."""
+    source, target = scratch_path(spark, "customers_csv"), scratch_path(spark, "segments")
+    write_csv(bank_customers(spark, folder), source)
+    return run_job(spark, source, target, CONFIG).report
 
 
 QUERIES: dict[str, Query] = {
@@ -388,6 +454,13 @@ QUERIES: dict[str, Query] = {
     "sink_profiles": sink_profiles,
     "sink_churn": sink_churn,
     "sink_clustered": sink_clustered,
+    "sink_clustered_csv": sink_clustered_csv,
+    "standardize_dirty": standardize_dirty,
+    "left_out": left_out,
+    "kmeans_by_country": kmeans_by_country,
+    "bisecting_by_country": bisecting_by_country,
+    "sweep_by_country": sweep_by_country,
+    "compare_by_country": compare_by_country,
     "kmeans_fit": kmeans_fit,
     "kmeans_sweep": kmeans_sweep,
     "final_model": final_model,

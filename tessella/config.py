@@ -35,14 +35,11 @@ class SegmentationConfig:
 
     # What to do with a NULL or NaN in a numeric feature: "error" or "skip".
     invalid: str = "error"
-    # Labels gathered on the driver and sent to every task, at most, for one
-    # category. A category with more of them is encoded by a join.
-    max_labels: int = 100_000
     # Size of one partition of the fitted table. It depends on the data alone,
     # so that a fit does not change with the cluster it runs on.
-    rows_per_partition: int = 500_000
-    # Models of a sweep fitted at once; None fills the idle task slots.
-    parallelism: int | None = None
+    rows_per_partition: int = 100_000
+    # Models of a sweep fitted at once; each holds a copy of the vectors in memory.
+    parallelism: int = 3
 
     @property
     def index_cols(self) -> tuple[str, ...]:

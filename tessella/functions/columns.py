@@ -56,17 +56,7 @@ def segment_name(
     )
 
 
-# Terms up to which distances are written out one by one. Beyond it the
-# generated code would outgrow what the JVM compiles.
-UNROLLED_TERMS = 1000
-
-
-def _unrolled_distance(x: Column, centre: Sequence[float]) -> Column:
-    differences = [F.get(x, F.lit(i)) - F.lit(float(v)) for i, v in enumerate(centre)]
-    return sum((d * d for d in differences[1:]), differences[0] * differences[0])
-
-
-def _looped_distance(x: Column, centre: Sequence[float]) -> Column:
+def squared_distance(x: Column, centre: Sequence[float]) -> Column:
     at = F.lit([float(v) for v in centre])
     squares = F.zip_with(x, at, lambda a, b: (a - b) * (a - b))
     return F.aggregate(squares, F.lit(0.0), lambda total, square: total + square)
@@ -77,13 +67,11 @@ def centre_distances(x: Column, centres: Sequence[Sequence[float]]) -> Column:
 
     The centres are literals of the plan (k x d numbers), so a row is compared
     where it lies: no join, no shuffle, no row multiplied. ``x`` should be a
-    plain column, as it is referred to once per term.
+    plain column, as it is referred to once per centre.
     """
-    terms = len(centres) * max((len(c) for c in centres), default=0)
-    distance = _unrolled_distance if terms <= UNROLLED_TERMS else _looped_distance
     return F.array(
         *[
-            F.struct(distance(x, centre).alias("distance"), F.lit(number).alias("cluster"))
+            F.struct(squared_distance(x, centre).alias("distance"), F.lit(number).alias("cluster"))
             for number, centre in enumerate(centres)
         ]
     )

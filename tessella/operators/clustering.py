@@ -9,7 +9,10 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel, KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.mllib.clustering import KMeans as RddKMeans
+from pyspark.mllib.clustering import KMeansModel as KMeansCentres
+from pyspark.mllib.linalg import Vectors as OldVectors
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +21,10 @@ from tessella.functions.columns import centre_distances, nearest
 from tessella.operators.evaluation import (
     SCORES,
     compare,
-    idle_slots,
+    count_by_k,
     run_side_by_side,
     silhouette,
-    sizes_by_k,
+    sizes_table,
 )
 from tessella.operators.features import (
     RAW,
@@ -47,7 +50,6 @@ class FitTable:
     customers: DataFrame
     model: PipelineModel
     table: DataFrame
-    partitions: int
 
     @property
     def features(self) -> DataFrame:
@@ -63,15 +65,15 @@ def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
     """
     customers = materialised(df.select(*config.columns))
     model = fit_features(customers, config)
-    pinned, partitions = pin_layout(
+    pinned = pin_layout(
         model.transform(customers).select(config.id_col, RAW),
-        config.id_col,
-        [config.id_col, vector_to_array(RAW)],
+        [F.col(config.id_col), vector_to_array(RAW)],
+        customers.count(),
         config.rows_per_partition,
     )
     raw = checkpointed(pinned)
     with persisted(raw):
-        yield FitTable(customers, model, fitted_scaler(model).transform(raw), partitions)
+        yield FitTable(customers, model, fitted_scaler(model).transform(raw))
 
 
 def fit_kmeans(table: DataFrame, k: int, config: SegmentationConfig) -> KMeansModel:
@@ -144,29 +146,29 @@ def label_names(ks) -> dict[int, str]:
 def sweep(fit: FitTable, config: SegmentationConfig) -> Sweep:
     """Fit and score K-Means for every k of the configured range.
 
-    The fits share one persisted table. On a table too small to fill the
-    cluster they run side by side; on a large one they follow each other, so
-    that only one holds vectors in memory at a time. Sizes for all k come from
-    one pass.
+    The fits share one persisted table; ``config.parallelism`` of them run at once. Sizes
+    for all k come from one pass, and only labellings of two clusters or more are scored.
     """
     spark = fit.table.sparkSession
-
-    def fit_and_score(k: int) -> tuple[int, KMeansModel, float | None]:
-        model = fit_kmeans(fit.table, k, config)
-        return k, model, silhouette(assign(fit.table, model), "cluster", SCALED)
-
-    at_once = config.parallelism or idle_slots(spark, fit.partitions)
     # The largest k takes longest, so it starts first.
-    runs = sorted(run_side_by_side(spark, fit_and_score, reversed(config.ks), at_once))
+    ks = list(reversed(config.ks))
+    fitted = run_side_by_side(spark, lambda k: fit_kmeans(fit.table, k, config), ks, config.parallelism)
+    models = dict(sorted(zip(ks, fitted)))
     labels, labelled = label_names(config.ks), fit.table
-    for k, model, _ in runs:
+    for k, model in models.items():
         labelled = assign(labelled, model, labels[k])
-    score_of = {k: score for k, _, score in runs}
+    counted = count_by_k(labelled, labels)
+
+    def score(k: int) -> float | None:
+        return silhouette(assign(fit.table, models[k]), "cluster", SCALED, counted[k])
+
+    scores = dict(zip(ks, run_side_by_side(spark, score, ks, config.parallelism)))
+    score_of = {k: scores[k] for k in config.ks}
     return Sweep(
-        models={k: model for k, model, _ in runs},
+        models=models,
         score_of=score_of,
         scores=spark.createDataFrame(list(score_of.items()), SCORES),
-        sizes=sizes_by_k(labelled, labels),
+        sizes=sizes_table(spark, counted),
     )
 
 
@@ -199,7 +201,10 @@ def vectors_of(
         .collect()
     )
     found = {row[id_col]: row["at"] for row in rows}
-    return [found[i] for i in ids if i in found]
+    missing = [i for i in ids if i not in found]
+    if missing:
+        raise ValueError(f"no features for these ids: {missing}")
+    return [found[i] for i in ids]
 
 
 def _with_distances(df: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
@@ -231,20 +236,14 @@ def assign_to_first(
 def lloyd_rounds(
     df: DataFrame, centres: Sequence[Sequence[float]], rounds: int
 ) -> list[list[float]]:
-    """Centres after so many Lloyd rounds from declared ones.
+    """Centres after so many rounds of MLlib's K-Means from declared ones.
 
-    The rounds of a K-Means fit without its random start. Each is one pass
-    with sums combined per task; k x d numbers come back. An empty cluster
-    keeps its centre.
+    A fit without its random start; only MLlib's RDD interface takes given centres. An
+    empty cluster keeps its centre.
     """
-    at = [list(c) for c in centres]
-    for _ in range(rounds):
-        means = (
-            assign_to_centres(df, at)
-            .groupBy("cluster")
-            .agg(vector_to_array(Summarizer.mean(F.col(SCALED))).alias("mean"))
-            .collect()
-        )
-        for row in means:
-            at[row["cluster"]] = list(row["mean"])
-    return at
+    vectors = MLUtils.convertVectorColumnsFromML(df.select(SCALED), SCALED)
+    start = KMeansCentres([OldVectors.dense(c) for c in centres])
+    fitted = RddKMeans.train(
+        vectors.rdd.map(lambda row: row[0]), len(centres), maxIterations=rounds, initialModel=start, epsilon=0.0
+    )
+    return [[float(x) for x in c] for c in fitted.clusterCenters]

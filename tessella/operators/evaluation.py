@@ -19,14 +19,6 @@ Item = TypeVar("Item")
 Result = TypeVar("Result")
 
 
-def idle_slots(spark: SparkSession, partitions: int) -> int:
-    """How many jobs over a table of so many partitions can run side by side.
-
-    Many while the table fills only a few task slots, one when it fills all.
-    """
-    return max(1, spark.sparkContext.defaultParallelism // max(1, partitions))
-
-
 def run_side_by_side(
     spark: SparkSession, work: Callable[[Item], Result], items: Iterable[Item], at_once: int
 ) -> list[Result]:
@@ -38,16 +30,23 @@ def run_side_by_side(
         return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
-def silhouette(df: DataFrame, label: str, features: str = "features") -> float | None:
+def silhouette(
+    df: DataFrame,
+    label: str,
+    features: str = "features",
+    sizes: Mapping[int, int] | None = None,
+) -> float | None:
     """Mean silhouette under squared Euclidean distance, None for one cluster.
 
+    ``sizes`` of the clusters, where they are known, save a pass.
+
     Two passes over the rows and k x d numbers per task: distances to a whole
     cluster follow from its size, sum and sum of squares, so no pair of rows
     is ever formed.
     """
-    first = df.select(label).first()
-    # Stops at the first row of another cluster.
-    if first is None or df.filter(F.col(label) != first[0]).isEmpty():
+    if sizes is None:
+        sizes = {r[label]: r["size"] for r in cluster_sizes(df, label).collect()}
+    if sum(n > 0 for n in sizes.values()) < 2:
         return None
     return ClusteringEvaluator(
         predictionCol=label,
@@ -59,35 +58,40 @@ def silhouette(df: DataFrame, label: str, features: str = "features") -> float |
 
 def score_labels(
     df: DataFrame, labels: Mapping[int, str], features: str = "features", at_once: int = 1
-) -> DataFrame:
-    """``(k, silhouette_score)`` for several label columns of one table."""
+) -> tuple[DataFrame, DataFrame]:
+    """``(k, silhouette_score)`` and ``(k, cluster, size)`` for several label columns of
+    one table. The sizes of all come from one pass, before any score."""
     spark = df.sparkSession
+    counted = count_by_k(df, labels)
 
     def score(item):
         k, label = item
-        return k, silhouette(df.select(features, label), label, features)
+        return k, silhouette(df.select(features, label), label, features, counted[k])
 
     rows = run_side_by_side(spark, score, labels.items(), at_once)
-    return spark.createDataFrame(rows, SCORES)
+    return spark.createDataFrame(rows, SCORES), sizes_table(spark, counted)
 
 
 def cluster_sizes(df: DataFrame, label: str = "cluster") -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("size")).orderBy(label)
 
 
-def sizes_by_k(df: DataFrame, labels: Mapping[int, str]) -> DataFrame:
-    """Cluster sizes of several label columns, counted in one pass.
+def count_by_k(df: DataFrame, labels: Mapping[int, str]) -> dict[int, dict[int, int]]:
+    """Sizes by k and cluster of several label columns: one aggregate of conditional
+    counts, one row per task. Clusters are numbered below k."""
+    counts = [F.count_if(F.col(c) == i).alias(f"{k}_{i}") for k, c in labels.items() for i in range(k)]
+    row = df.agg(*counts).first()
+    return {k: {i: row[f"{k}_{i}"] for i in range(k)} for k in labels}
 
-    Rows are combined before the shuffle: each task sends at most one row per
-    cluster and k.
-    """
-    pairs = [F.struct(F.lit(k).alias("k"), F.col(c).alias("cluster")) for k, c in labels.items()]
-    return (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("k", "cluster")
-        .agg(F.count("*").alias("size"))
-        .orderBy("k", "cluster")
-    )
+
+def sizes_table(spark: SparkSession, counted: Mapping[int, Mapping[int, int]]) -> DataFrame:
+    rows = [(k, i, n) for k, sizes in sorted(counted.items()) for i, n in sorted(sizes.items()) if n]
+    return spark.createDataFrame(rows, "k int, cluster int, size long")
+
+
+def sizes_by_k(df: DataFrame, labels: Mapping[int, str]) -> DataFrame:
+    """Cluster sizes of several label columns, counted in one pass."""
+    return sizes_table(df.sparkSession, count_by_k(df, labels))
 
 
 def best_k(scores: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.ml.feature import (
     ElementwiseProduct,
     StandardScaler,
     StandardScalerModel,
-    StringIndexer,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -18,41 +17,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
-from tessella.operators.labels import LabelJoin
+from tessella.operators.labels import LabelEncoder
 
 RAW, SCALED, UNCENTRED = "features_unscaled", "features", "features_uncentred"
 
 
-def large_categories(df: DataFrame, config: SegmentationConfig) -> set[str]:
-    """Categories with more labels than a driver should be given.
-
-    The count is a sketch (5 % off at most times), close enough for a bound.
-    """
+def encoders(config: SegmentationConfig) -> list[LabelEncoder]:
+    """The stage that puts an index next to every category, if there is one."""
     if not config.categorical:
-        return set()
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in config.categorical]).first()
-    return {c for c in config.categorical if row[c] > config.max_labels}
-
-
-def encoders(df: DataFrame, config: SegmentationConfig) -> list[StringIndexer | LabelJoin]:
-    """Pipeline stages that put an index next to every category.
-
-    Index 0 is the most frequent label, ties go by name; NULL and unseen labels
-    share the index after the last one. ``StringIndexer`` does all ordinary
-    categories in one job, gathering their labels; larger ones stay in a table.
-    """
-    large = large_categories(df, config)
-    outputs = dict(zip(config.categorical, config.index_cols))
-    small = [c for c in config.categorical if c not in large]
-    indexer = StringIndexer(
-        inputCols=small, outputCols=[outputs[c] for c in small], handleInvalid="keep"
-    )
-    joins = [LabelJoin(df, c, outputs[c]) for c in config.categorical if c in large]
-    return joins + ([indexer] if small else [])
+        return []
+    return [LabelEncoder(list(config.categorical), list(config.index_cols))]
 
 
 def fit_encoder(df: DataFrame, config: SegmentationConfig) -> PipelineModel:
-    return Pipeline(stages=encoders(df, config)).fit(df)
+    return Pipeline(stages=encoders(config)).fit(df)
 
 
 def assembler(config: SegmentationConfig) -> VectorAssembler:
@@ -72,7 +50,7 @@ def fit_features(df: DataFrame, config: SegmentationConfig) -> PipelineModel:
     Reads ``df`` twice (the scaler needs the encoder's indices), so give it a
     table that is cheap to read again.
     """
-    return Pipeline(stages=[*encoders(df, config), assembler(config), scaler()]).fit(df)
+    return Pipeline(stages=[*encoders(config), assembler(config), scaler()]).fit(df)
 
 
 def fitted_scaler(model: PipelineModel) -> StandardScalerModel:

@@ -1,37 +1,51 @@
-"""Label encoding for categories with too many labels to gather in one place.
+"""Label encoding that works the same for any number of labels.
 
-The result is that of MLlib's ``StringIndexer`` (most frequent label first,
-ties by name, NULL and unseen after the last); the labels stay in a table.
+Labels are ranked as MLlib's ``StringIndexer`` ranks them: most frequent first, ties by
+name, NULL and unseen after the last. They are ranked in parallel and stay in a table.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Transformer
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.ml import Estimator, Transformer
+from pyspark.ml.param.shared import HasInputCols, HasOutputCols
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.operators.layout import checkpointed
-from tessella.session import scratch_path
+from tessella.operators.layout import checkpointed, materialised
 
 # Low bits of monotonically_increasing_id: the row's place in its partition.
 PLACE_BITS = (1 << 33) - 1
+# Labels on this share of all rows are hot: 100 of a category, at most.
+HOT_SHARE = 0.01
 
 
-def rank_labels(df: DataFrame, column: str) -> DataFrame:
-    """``(label, position)`` of every label of ``column``, ranked in parallel.
+def count_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(category, label, count)`` of all columns in one aggregate, combined map-side."""
+    pairs = [
+        F.struct(F.lit(c).alias("category"), F.col(c).cast("string").alias("label")) for c in columns
+    ]
+    return df.select(F.inline(F.array(*pairs))).groupBy("category", "label").count()
 
-    Labels are counted map-side first, so a label on a third of all rows is no
-    hot key. Sorting spreads them over tasks by range; a label's position is
-    its place in its partition plus the sizes of the partitions before it,
-    which is a table of one row per partition.
+
+def rank_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(category, label, position, hot)`` of every label, ranked in parallel.
+
+    Sorting spreads the labels over tasks by range. A label's position is its place in
+    its partition plus the sizes of the partitions before it (a table of one row per
+    partition), less the place where its category begins.
     """
-    spark = df.sparkSession
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).count()
+    counts = count_labels(df, columns)
+    totals = counts.groupBy("category").agg(F.sum("count").alias("total"))
+    counts = counts.filter(F.col("label").isNotNull()).join(totals, "category")
+    hot = (F.col("count") >= F.col("total") * HOT_SHARE).alias("hot")
+    ordered = counts.orderBy("category", F.desc("count"), "label").select("category", "label", hot)
     # The sort samples its ranges anew each time it runs, so it must run once.
-    ranked = checkpointed(counts.orderBy(F.desc("count"), "label").select("label"))
+    ranked = checkpointed(ordered)
     placed = ranked.select(
+        "category",
         "label",
+        "hot",
         F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_BITS)).alias("place"),
     )
@@ -41,31 +55,95 @@ def rank_labels(df: DataFrame, column: str) -> DataFrame:
         .count()
         .select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     )
-    table = placed.join(F.broadcast(offsets), "part").select(
-        "label", (F.col("offset") + F.col("place")).cast("double").alias("position")
-    )
-    path = scratch_path(spark, "labels")
-    table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    at = F.col("offset") + F.col("place")
+    placed = placed.join(offsets, "part").select("category", "label", "hot", at.alias("at"))
+    starts = placed.groupBy("category").agg(F.min("at").alias("start"))
+    position = (F.col("at") - F.col("start")).cast("double").alias("position")
+    return materialised(placed.join(starts, "category").select("category", "label", position, "hot"))
 
 
-class LabelJoin(Transformer):
-    """Puts a label's position next to it, by a join that AQE may split where
-    one label is hot. A stage like ``StringIndexerModel``, though not savable:
-    its label table lives in the shared folder."""
+class LabelEncoder(Estimator, HasInputCols, HasOutputCols):
+    """Fits a ``LabelModel``; a drop-in stage for MLlib's ``StringIndexer``."""
 
-    def __init__(self, df: DataFrame, column: str, output: str):
+    def __init__(self, inputs: list[str], outputs: list[str]):
         super().__init__()
-        self.column, self.output = column, output
-        self.table = rank_labels(df, column)
-        self.n_labels = float(self.table.count())
+        self._set(inputCols=inputs, outputCols=outputs)
+
+    def _fit(self, df: DataFrame) -> LabelModel:
+        return LabelModel(self.getInputCols(), self.getOutputCols(), rank_labels(df, self.getInputCols()))
+
+
+class LabelModel(Transformer, HasInputCols, HasOutputCols, MLReadable, MLWritable):
+    """Puts a label's position next to it.
+
+    Hot labels, a bounded number of them, are looked up in the row. All others come from
+    the table by a join, whose strategy Spark chooses. Rows that need no look-up, NULLs
+    among them, get keys of their own there, so no key of the join is hot.
+    """
+
+    def __init__(self, inputs: list[str] = (), outputs: list[str] = (), table: DataFrame | None = None):
+        super().__init__()
+        self._set(inputCols=list(inputs), outputCols=list(outputs))
+        if table is not None:
+            self.use(table)
+
+    def use(self, table: DataFrame) -> None:
+        self.table = table
+        self.n_labels = dict(table.groupBy("category").agg(F.count("*").cast("double")).collect())
+        self.hot: dict[str, dict[str, float]] = {}
+        for row in table.filter("hot").collect():
+            self.hot.setdefault(row["category"], {})[row["label"]] = row["position"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        labels = self.table.select(
-            F.col("label").alias("_label"), F.col("position").alias("_position")
+        for column, output in zip(self.getInputCols(), self.getOutputCols()):
+            df = self._encoded(df, column, output)
+        return df
+
+    def _encoded(self, df: DataFrame, column: str, output: str) -> DataFrame:
+        label = F.col(column).cast("string")
+        hot = self.hot.get(column, {})
+        known: Column = F.lit(None).cast("double")
+        if hot:
+            known = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])[label]
+        labels = self.table.filter((F.col("category") == column) & ~F.col("hot")).select(
+            F.col("label").alias("_label"), F.lit(0).alias("_spread"), F.col("position").alias("_position")
+        )
+        looked_up = label.isNotNull() & F.col("_known").isNull()
+        rows = df.withColumn("_known", known).withColumn(
+            "_place", F.when(looked_up, 0).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)).cast("int"))
+        )
+        rest = F.lit(self.n_labels.get(column, 0.0))
+        joined = rows.join(
+            labels, (label.eqNullSafe(F.col("_label"))) & (F.col("_place") == F.col("_spread")), "left"
         )
-        return (
-            df.join(labels, F.col(self.column) == F.col("_label"), "left")
-            .withColumn(self.output, F.coalesce("_position", F.lit(self.n_labels)))
-            .drop("_label", "_position")
+        return joined.withColumn(output, F.coalesce("_known", "_position", rest)).drop(
+            "_known", "_place", "_label", "_spread", "_position"
         )
+
+    def write(self) -> MLWriter:
+        return LabelModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return LabelModelReader()
+
+
+class LabelModelWriter(MLWriter):
+    def __init__(self, model: LabelModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.model.table.sparkSession)
+        self.model.table.write.parquet(f"{path}/labels")
+
+
+class LabelModelReader(MLReader):
+    def load(self, path: str) -> LabelModel:
+        spark = SparkSession.active()
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        model = LabelModel()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model.use(spark.read.parquet(f"{path}/labels"))
+        return model

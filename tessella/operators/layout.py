@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from tessella.session import scratch_path, shared_dir
 
-# Buckets of the skew check; each task sends at most this many counts.
-SKEW_BUCKETS = 4096
-
-
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` kept on the executors inside the block; lost parts are recomputed."""
@@ -31,11 +27,9 @@ def materialised(df: DataFrame) -> DataFrame:
 
     For a table that several passes read, each its own columns: the plan below
     runs once, and nothing goes back beyond these files when an executor is
-    lost. Without a shared folder the plan is returned as it is.
+    lost.
     """
     spark = df.sparkSession
-    if shared_dir(spark) is None:
-        return df
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -47,8 +41,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Unlike a table it comes back in the layout it had, which iterative fits
     need, and every round of a fit starts from a plan of one step.
     """
-    if shared_dir(df.sparkSession) is None:
-        return df
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -58,21 +51,14 @@ def gathered(df: DataFrame) -> DataFrame:
 
 
 def pin_layout(
-    df: DataFrame, id_col: str, order: Sequence[Column | str], rows_per_partition: int
-) -> tuple[DataFrame, int]:
+    df: DataFrame, order: Sequence[Column], rows: int, rows_per_partition: int
+) -> DataFrame:
     """Rows in a partition and order that depend on the data alone.
 
-    K-Means samples its first centres and adds up its sums per partition, so a
-    seed only reproduces a fit on the same layout. The number of partitions
-    comes from the row count, and rows go to them by hash of the id. Should one
-    id hold more rows than a partition may, hashing cannot spread it, and rows
-    are dealt out evenly instead.
-
-    Returns the table and its number of partitions.
+    K-Means samples its first centres and adds up its sums per partition, so a seed only
+    reproduces a fit on the same layout. The number of partitions comes from the row
+    count, and rows go to them by hash of all of ``order``, id and features: an id on
+    very many rows is spread as its features are.
     """
-    buckets = df.groupBy(F.pmod(F.hash(id_col), F.lit(SKEW_BUCKETS))).agg(F.count("*").alias("n"))
-    rows, fullest = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
     n = max(1, ceil(rows / rows_per_partition))
-    hot = rows > 0 and fullest - rows / SKEW_BUCKETS > rows_per_partition
-    spread = df.repartition(n) if hot else df.repartition(n, id_col)
-    return spread.sortWithinPartitions(*order), n
+    return df.repartition(n, *order).sortWithinPartitions(*order)

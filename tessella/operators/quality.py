@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,3 +29,11 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 def missing_columns(df: DataFrame) -> DataFrame:
     return missing_values(df).filter("missing > 0")
+
+
+def left_out(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """How many customers have all numeric features, and how many are left out under
+    ``invalid="skip"`` because one is NULL or NaN. One aggregate."""
+    bad = reduce(lambda a, b: a | b, [F.isnull(c) | F.isnan(F.col(c).cast("double")) for c in numeric], F.lit(False))
+    missing = F.count_if(bad)
+    return df.agg((F.count("*") - missing).alias("clustered"), missing.alias("left_out"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tessella.config import SegmentationConfig
 from tessella.operators import evaluation, inspection, profiles, quality
@@ -19,6 +19,7 @@ from tessella.operators.clustering import (
 )
 from tessella.operators.features import SCALED
 from tessella.operators.layout import gathered
+from tessella.sources.customers import read_customers_csv
 from tessella.sinks.tables import write_csv, write_parquet
 
 
@@ -36,7 +37,9 @@ class Segmentation:
     schema: DataFrame
     head: DataFrame
     statistics: DataFrame
+    strings: DataFrame
     missing: DataFrame
+    left_out: DataFrame
     scores: DataFrame
     sizes: DataFrame
     comparison: DataFrame
@@ -63,16 +66,22 @@ class Segmentation:
 
 
 def segment_customers(
-    df: DataFrame, config: SegmentationConfig | None = None, k: int | None = None
+    df: DataFrame,
+    config: SegmentationConfig | None = None,
+    k: int | None = None,
+    sweep_too: bool = False,
 ) -> Segmentation:
-    """Segment the customers of ``df``; ``k`` overrides the swept best k.
+    """Segment the customers of ``df`` into the best k of a sweep.
 
-    The final model is the sweep's own for that k: same rows, layout and seed
-    give the same fit, so it is not fitted again.
+    A given ``k`` is fitted without a sweep, and scored alone, unless ``sweep_too``. The
+    final model is the sweep's own for its k: same rows, layout and seed give the same
+    fit, so it is not fitted again.
     """
     config = config or SegmentationConfig()
+    only = k is not None and not sweep_too
+    swept_config = replace(config, min_k=k, max_k=k) if only else config
     with fit_table(df, config) as fit:
-        swept = sweep(fit, config)
+        swept = sweep(fit, swept_config)
         chosen = k or evaluation.best_k(swept.scores).first()["k"]
         if chosen in swept.models:
             model, score = swept.models[chosen], swept.score_of[chosen]
@@ -80,7 +89,6 @@ def segment_customers(
             model = fit_kmeans(fit.table, chosen, config)
             score = evaluation.silhouette(assign(fit.table, model), "cluster", SCALED)
         comparison = compare_algorithms(fit, score, chosen, config)
-        sizes = gathered(swept.sizes)
     labelled = assign(fit.features, model)
     summary = gathered(profiles.cluster_summary(labelled, config.outcome))
     profile = summary.drop("churn_rate")
@@ -91,9 +99,11 @@ def segment_customers(
         schema=inspection.schema_report(fit.customers),
         head=inspection.head_records(fit.customers, config.id_col),
         statistics=inspection.describe_numeric(fit.customers),
+        strings=inspection.describe_strings(fit.customers),
         missing=quality.missing_columns(fit.customers),
+        left_out=quality.left_out(fit.customers, config.numeric),
         scores=swept.scores,
-        sizes=sizes,
+        sizes=swept.sizes,
         comparison=comparison,
         labelled=labelled,
         profiles=profile,
@@ -101,3 +111,24 @@ def segment_customers(
         report=profiles.segment_report(profile),
         churn=profiles.churn_of(summary),
     )
+
+
+# What the job tells about its input and result, beside the tables it saves.
+REPORTED = ("schema", "head", "statistics", "strings", "missing", "left_out", "sizes", "comparison", "names", "report")
+
+
+def run_job(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    config: SegmentationConfig | None = None,
+    k: int | None = None,
+    labelled_as: str = "csv",
+) -> Segmentation:
+    """From customer CSV files to the four result tables below ``target``, and below
+    ``target``/report one small table for each step that informs about the data."""
+    result = segment_customers(read_customers_csv(spark, source), config, k)
+    for name in REPORTED:
+        write_parquet(getattr(result, name), f"{target}/report/{name}")
+    result.save(target, labelled_as)
+    return result

@@ -9,42 +9,34 @@ from pyspark.sql import SparkSession
 
 
 def get_session(app_name: str = "tessella", **conf: str) -> SparkSession:
-    """The running session, or a new one with adaptive execution on.
+    """The running session, or a new one; adaptive execution is Spark's default.
 
     The caller owns the session: nothing in this package stops it.
     """
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app_name)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """Folder all executors see, as the cluster names it.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder all executors see, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local path would be lost with its machine, so there the
-    answer is None.
+    On one machine (a local session, as in tests) a session without that setting gets a
+    folder of its own. On a cluster a machine-local path would be lost with its machine,
+    so there the setting is required.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="tessella-")
     if context.getCheckpointDir() is None:
-        if named is None and context.master.startswith("local"):
-            named = tempfile.mkdtemp(prefix="tessella-")
-        if named is not None:
-            context.setCheckpointDir(named)
-    folder = named or context.getCheckpointDir()
-    return folder.rstrip("/") if folder else None
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, in the shared folder."""
-    base = shared_dir(spark)
-    if base is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base}/tessella/{uuid.uuid4().hex}/{name}"
+    return f"{shared_dir(spark)}/tessella/{uuid.uuid4().hex}/{name}"

@@ -80,19 +80,43 @@ def test_a_fit_does_not_depend_on_the_input_layout(customers, model):
         assert np.allclose(other.clusterCenters(), model.clusterCenters(), atol=1e-9)
 
 
+def pinned(df, rows):
+    return pin_layout(df, [F.col("customer_id"), F.col("age"), F.col("balance")], df.count(), rows)
+
+
 def test_many_partitions_hold_every_row_once(customers):
-    table, n = pin_layout(customers, "customer_id", ["customer_id"], 100)
-    assert n == 15 and table.rdd.getNumPartitions() == 15
+    table = pinned(customers, 100)
+    assert table.rdd.getNumPartitions() == 15
     assert table.select("customer_id").distinct().count() == table.count() == 1500
 
 
-def test_a_hot_id_is_spread(customers):
-    hot = customers.withColumn(
+def with_hot_id(customers):
+    return customers.withColumn(
         "customer_id", F.expr("CASE WHEN customer_id % 3 = 0 THEN 7 ELSE customer_id END")
     )
-    table, n = pin_layout(hot, "customer_id", ["customer_id", "age"], 100)
+
+
+def test_a_hot_id_is_spread(customers):
+    table = pinned(with_hot_id(customers), 100)
     sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
-    assert n == 15 and sum(sizes) == 1500 and max(sizes) <= 150
+    assert len(sizes) == 15 and sum(sizes) == 1500 and max(sizes) <= 150
+
+
+@pytest.mark.parametrize("k", [4, 6])
+def test_a_hot_id_does_not_change_a_fit(customers, k):
+    from dataclasses import replace
+
+    config, hot = replace(CONFIG, rows_per_partition=400), with_hot_id(customers)
+    centres = []
+    for layout in (hot.repartition(3), hot.repartition(7, "country")):
+        with clustering.fit_table(layout, config) as fit:
+            centres.append(clustering.fit_kmeans(fit.table, k, config).clusterCenters())
+    assert np.allclose(*centres, atol=1e-9)
+
+
+def test_absent_seeds_are_named(fit):
+    with pytest.raises(ValueError, match="999999"):
+        clustering.vectors_of(fit.customers, fit.model, "customer_id", [0, 999999])
 
 
 def test_churn_does_not_reach_the_labels(customers):
@@ -196,35 +220,13 @@ def test_nearest_centre_takes_the_lowest_on_a_tie(spark):
     assert [r["cluster"] for r in got] == [1, 1]
 
 
-def test_written_out_and_looped_distances_agree(spark, fit, monkeypatch):
-    from tessella.functions import columns
-
+def test_nearest_of_the_first_centres(fit):
     centres = clustering.vectors_of(fit.customers, fit.model, "customer_id", range(6))
     labels = clustering.label_names(range(2, 7))
-    rows = []
-    for limit in (1000, 0):
-        monkeypatch.setattr(columns, "UNROLLED_TERMS", limit)
-        df = clustering.assign_to_first(fit.table, centres, labels)
-        rows.append(sorted(df.select("customer_id", *labels.values()).collect()))
-    assert rows[0] == rows[1]
-    points, found = vectors(df, labels[4])
+    points, found = vectors(clustering.assign_to_first(fit.table, centres, labels), labels[4])
     assert (nearest(points, np.array(centres[:4])) == found).all()
 
 
-def test_lloyd_rounds_are_those_of_mllib(spark, fit):
-    from pyspark.mllib.clustering import KMeans, KMeansModel
-    from pyspark.mllib.linalg import Vectors as OldVectors
-
-    start = clustering.vectors_of(fit.customers, fit.model, "customer_id", range(K))
-    ours = clustering.lloyd_rounds(fit.table, start, 3)
-    rdd = fit.table.select(SCALED).rdd.map(lambda r: OldVectors.dense(r[0].toArray()))
-    theirs = KMeans.train(
-        rdd, K, maxIterations=3, initialModel=KMeansModel([OldVectors.dense(c) for c in start]),
-        epsilon=0.0,
-    )
-    assert np.allclose(ours, [c for c in theirs.clusterCenters], atol=1e-9)
-
-
 def test_an_empty_cluster_keeps_its_centre(spark):
     rows = [(i, Vectors.dense([float(i)]), 0) for i in range(4)]
     df = spark.createDataFrame(rows, POINT).drop("cluster")
@@ -269,8 +271,21 @@ def test_whole_job(spark, customers, tmp_path):
         assert spark.read.option("header", True).csv(f"{out}/{name}").count() == rows
 
 
-def test_a_given_k_overrides_the_best(customers):
-    from dataclasses import replace
-
-    result = segment_customers(customers, replace(CONFIG, max_k=2), k=3)
+def test_a_given_k_is_fitted_alone(customers):
+    result = segment_customers(customers, CONFIG, k=3)
     assert result.best_k == 3 and result.report.count() == 3
+    assert [r["k"] for r in result.scores.collect()] == [3]
+
+
+def test_the_command(spark, customers, tmp_path):
+    from tessella.__main__ import main
+    from tessella.sinks.tables import write_csv
+
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    write_csv(customers, source)
+    main([source, target, "--k", "3", "--invalid", "skip"])
+    read = spark.read.option("header", True)
+    assert read.csv(f"{target}/clustered_customers").count() == 1500
+    assert read.csv(f"{target}/cluster_profiles").count() == 3
+    assert spark.read.parquet(f"{target}/report/left_out").first()["left_out"] == 0
+    assert spark.read.parquet(f"{target}/report/report").count() == 3

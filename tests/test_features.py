@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -14,7 +15,6 @@ from tessella.operators.features import (
     fit_features,
     uncentred,
 )
-from tessella.operators.labels import LabelJoin
 
 ONE = SegmentationConfig(numeric=("x",), categorical=("label",), invalid="error")
 
@@ -27,8 +27,9 @@ def test_labels_by_frequency_then_name(spark):
     assert got == [2.0, 1.0, 0.0, 0.0, 3.0, 3.0]
 
 
-def test_many_labels_are_ranked_in_a_table(spark):
-    """Encoding by join gives StringIndexer's indices, a hot label included."""
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_many_labels_with_a_hot_one(spark, threshold):
+    """The indices of StringIndexer, whatever the join."""
     df = (
         spark.range(3000)
         .repartition(5)
@@ -39,32 +40,21 @@ def test_many_labels_are_ranked_in_a_table(spark):
             .alias("label"),
         )
     )
-    rows = {}
-    for bound in (100, 100_000):
-        config = SegmentationConfig(numeric=(), categorical=("label",), max_labels=bound)
-        model = fit_encoder(df, config)
-        assert isinstance(model.stages[0], LabelJoin) == (bound == 100)
-        rows[bound] = sorted(model.transform(df).select("customer_id", "label_index").collect())
-    assert len(rows[100]) == 3000
-    assert rows[100] == rows[100_000]
-
-
-def test_a_fit_with_one_large_category(spark):
-    from tessella.operators.clustering import fit_table
-
-    df = spark.range(60).select(
-        F.col("id").alias("customer_id"),
-        (F.col("id") % 7).cast("double").alias("x"),
-        F.concat(F.lit("l"), F.col("id") % 20).alias("many"),
-        F.concat(F.lit("l"), F.col("id") % 2).alias("few"),
-        F.lit(0).alias("churn"),
-    )
-    tables = []
-    for bound in (5, 100):
-        config = SegmentationConfig(numeric=("x",), categorical=("many", "few"), max_labels=bound)
-        with fit_table(df, config) as fit:
-            tables.append([list(r[SCALED]) for r in fit.table.collect()])
-    assert np.allclose(tables[0], tables[1])
+    config = SegmentationConfig(numeric=(), categorical=("label",))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = fit_encoder(df, config).transform(df).select("customer_id", "label_index").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep").fit(df)
+    assert sorted(got) == sorted(want.transform(df).select("customer_id", "label_index").collect())
+
+
+def test_whole_numbers_are_labels_by_their_text(spark):
+    df = spark.createDataFrame([(9,), (10,), (100,)], "label int")
+    rows = fit_encoder(df, ONE).transform(df).collect()
+    assert {r["label"]: r["label_index"] for r in rows} == {10: 0.0, 100: 1.0, 9: 2.0}
 
 
 def test_standardise_with_sample_deviation_and_constant_column(spark):
