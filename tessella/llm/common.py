@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as ``spark.checkpoint.dir`` names it.
 
-    A cluster names it; a session without it (a local test) has to set it.
+    A session on one machine without that setting (a local test) gets one of its own; on
+    a cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tessella-llm-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
