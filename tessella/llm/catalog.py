@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bm25_search, bpe_codec, graph_search, lm_score, mixing, near_dedup, pii, quality, token_counts, url_rules
+from tessella.llm import bm25_search, bpe_codec, graph_search, lm_score, mixing, near_dedup, oracles, pii
+from tessella.llm import quality, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,4 +78,4 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)

@@ -7,10 +7,11 @@ it, and levels end once every slot holds a smaller value. Classes that agree in
 slots meet in a bucket. Links are confirmed on full sets and joined to components.
 
 No bucket emits all its pairs. First every class is compared with the smallest of its
-bucket. A bucket whose classes are then in one component is done; in the others a
-growing number of leaders is compared with the classes of other components, until all
-pairs across components have been compared. So no link between components is lost,
-however large a bucket is.
+bucket, then with one more of it. A bucket whose classes are then in one component is
+done. The others are compared in full, in blocks of bounded size and without a row per
+pair: a task counts the shared shingles of two blocks' classes of different components
+and returns those that may link. So no link between components is lost, however large a
+bucket is.
 """
 
 from __future__ import annotations
@@ -34,16 +35,17 @@ class DedupSettings:
     percent: int = 75  # of the union that two sets have to share
     slots: int = 128
     rows: int = 4  # slots of a band: a pair at 0.75 meets in no band once in 200,000 times
-    # Part of equal slots below which a pair is not looked at: 6 standard deviations
+    # Part of equal slots below which a pair is not looked at: five standard deviations
     # off for a pair at the threshold.
-    estimate: float = 0.5
-    leaders: int = 16  # of a bucket in the second round; 16 times more in each after it
+    estimate: float = 0.5625
+    block: int = 512  # classes of a bucket that are compared together
     spread: int = 500  # pairs of one class that go to one task
 
 
 SETTINGS = DedupSettings()
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CACHE_ENTRIES = 800_000
+TASK_EDGES = 250_000
 WORDS = BoundedCache(CACHE_ENTRIES)
 
 
@@ -168,7 +170,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: DedupSettings) -> Da
 
 
 def forest(edges: DataFrame) -> DataFrame:
-    """Each partition's edges as stars around its smallest nodes, by union-find."""
+    """The edges dealt to tasks, ``TASK_EDGES`` to each, and each task's as stars around
+    its smallest nodes, by union-find."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parent: dict[int, int] = {}
@@ -187,7 +190,12 @@ def forest(edges: DataFrame) -> DataFrame:
         stars = [(root(x), x) for x in parent if root(x) != x]
         yield pd.DataFrame(stars, columns=["a", "b"], dtype="int64")
 
-    return edges.mapInPandas(run, "a long, b long")
+    tasks = max(1, -(-edges.count() // TASK_EDGES))
+    return edges.repartition(tasks).mapInPandas(run, "a long, b long")
+
+
+def checksum(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -198,7 +206,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges end as stars when they no longer change.
     """
     now = written(forest(edges), "forest")
-    state = None
+    state = checksum(now)
     while True:
         both = now.union(now.select(F.col("b"), F.col("a"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -208,7 +216,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "b").select(F.col("m"), "a", "b")
         pairs = small.select(F.explode(F.array(F.struct("m", F.col("a").alias("x")), F.struct("m", F.col("b").alias("x")))).alias("p"))
         now = written(pairs.select(F.col("p.m").alias("a"), F.col("p.x").alias("b")).where("a <> b").distinct(), "stars")
-        new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        new = checksum(now)
         if new == state:
             return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
                 now.select("a", "a").distinct()
@@ -216,6 +224,90 @@ def components(edges: DataFrame) -> DataFrame:
         state = new
 
 
+def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, size, node, component: members of buckets with several components."""
+    component = F.coalesce("component", "node")
+    placed = members.join(found, "node", "left").select("bucket", "size", "node", component.alias("component"))
+    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return written(placed.join(several.where("low < high").select("bucket"), "bucket"), "unsettled")
+
+
+def led(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of another leader of each bucket, the one its hash says, with the
+    classes of other components."""
+    pick = F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket"))
+    lead = left.groupBy("bucket").agg(pick.alias("lead"))
+    pairs = left.join(lead, "bucket").where(F.col("component") != F.col("lead.component"))
+    return pairs.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def narrowed(texts: DataFrame) -> DataFrame:
+    """node, n, half: the sets as sorted 32-bit halves of their hashes. Two sets share
+    at least as many halves as they share shingles."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sets = [shingles(x) for x in frame["text"]]
+            half = [(s & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for s in sets]
+            yield pd.DataFrame({"node": frame["node"], "n": [len(s) for s in sets], "half": half})
+
+    return texts.mapInPandas(run, "node long, n long, half binary")
+
+
+def block_links(left: list, right: list, percent: int) -> list[tuple[int, int]]:
+    """Pairs of two blocks' rows, of different components, that may share enough."""
+    of_right = np.array([y["component"] for y in right])
+    sizes = np.array([y["n"] for y in right])
+    nodes = np.array([y["node"] for y in right])
+    halves = [np.frombuffer(y["half"], np.uint32) for y in right]
+    elements = np.concatenate(halves)
+    owner = np.repeat(np.arange(len(right)), [len(h) for h in halves])
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    out = []
+    for x in left:
+        other = of_right != x["component"]
+        if not other.any():
+            continue
+        half = np.frombuffer(x["half"], np.uint32)
+        first, last = np.searchsorted(elements, half), np.searchsorted(elements, half, "right")
+        count = last - first
+        at = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+        shared = np.bincount(owner[at], minlength=len(right))
+        fits = other & (100 * shared >= percent * (x["n"] + sizes - shared))
+        out += [(min(x["node"], y), max(x["node"], y)) for y in nodes[fits].tolist()]
+    return out
+
+
+def across(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> DataFrame:
+    """Pairs (a, b) of different components in a bucket that may share enough: all that
+    do are among them. A bucket is dealt to blocks; every two of its blocks meet once.
+    A block holds rows of the largest component apart from the others, so two blocks of
+    only that component don't meet.
+    """
+    per = left.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    largest = per.groupBy("bucket").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))
+    inner = (F.col("component") == F.col("largest")).alias("inner")
+    blocks = F.ceil(F.col("size") / settings.block)
+    block = F.pmod(F.xxhash64("node"), blocks).alias("block")
+    rows = left.join(largest, "bucket").select("bucket", inner, block, "node", "component")
+    rows = rows.join(narrowed(texts).dropDuplicates(["node"]), "node")
+    packed = rows.groupBy("bucket", "inner", "block").agg(
+        F.collect_list(F.struct("node", "component", "n", "half")).alias("rows")
+    )
+    packed = written(packed, "blocks")
+    outer = packed.where("NOT inner").select("bucket", F.col("block").alias("own"), F.col("rows").alias("outer"))
+    met = packed.join(outer, "bucket").where(F.col("inner") | (F.col("own") <= F.col("block")))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for one, two in zip(frame["outer"], frame["rows"]):
+                found = block_links(one, two, settings.percent)
+                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return met.select("outer", "rows").mapInPandas(run, "a long, b long").distinct()
+
+
 def groups(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
@@ -240,28 +332,15 @@ def groups(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
     texts = written(texts.join(suspects, "node", "left_semi"), "texts")
 
     pairs = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links, leaders = None, settings.leaders
-    while True:
-        close = written(similar(pairs, classes, settings), "close")
-        new = written(confirmed(close, texts, settings), "links")
-        links = new if links is None else links.union(new)
-        found = written(components(links), "components")
-        # What is left: buckets that hold more than one component.
-        component = F.coalesce("component", "node")
-        placed = members.join(found, "node", "left").select("bucket", "size", "node", component.alias("component"))
-        mixed_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        placed = placed.join(mixed_.where("low < high").select("bucket"), "bucket")
-        if leaders > settings.leaders:
-            # Buckets of that many classes have been compared in full.
-            placed = placed.where(F.col("size") > leaders // 16)
-        placed = written(placed, "placed")
-        if placed.isEmpty():
+    links = written(confirmed(similar(pairs, classes, settings), texts, settings), "links")
+    found = written(components(links), "components")
+    for compare in (lambda left: similar(led(left), classes, settings), lambda left: across(left, texts, settings)):
+        left = unsettled(members, found)
+        if left.isEmpty():
             break
-        chosen = placed.where(F.pmod(F.xxhash64("node", "bucket"), F.col("size")) < leaders)
-        chosen = chosen.select("bucket", F.col("node").alias("x"), F.col("component").alias("own"))
-        across = placed.join(chosen, "bucket").where(F.col("component") != F.col("own"))
-        pairs = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        leaders *= 16
+        close = written(compare(left), "close")
+        links = links.union(written(confirmed(close, texts, settings), "links"))
+        found = written(components(links), "components")
     component = F.coalesce("component", "node")
     named = classes.select("set_key", "node").join(found, "node", "left").select("set_key", component.alias("of_class"))
     rows = sketch.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(named, "set_key", "left")
