@@ -258,3 +258,13 @@ def test_search_is_exact(spark, documents, block):
                 score[i] = round(s, 7)
         assert got[q] == sorted(score.items(), key=lambda x: (-x[1], x[0]))[:10]
     assert bm25_search.top_k(df.limit(0), df.limit(0), 10, settings).count() == 0
+
+
+def test_search_uses_all_terms_as_registered(spark):
+    # 15 rare words that each query shares with its twin come after 20 rarer ones shared with others.
+    rows = [(0, " ".join([f"r{i}" for i in range(20)] + [f"t{i}" for i in range(15)]))]
+    rows += [(1, " ".join(f"t{i}" for i in range(15)))] + [(2 + i, f"r{i}") for i in range(20)]
+    rows += [(30 + i, " ".join(f"t{j}" for j in range(15) if (i + j) % 5 == 0)) for i in range(5)]
+    df = frame(spark, rows)
+    best = bm25_search.top_k(df, df.where("doc_id = 0"), 1).first()
+    assert bm25_search.SETTINGS.query_terms is None and best["doc_id"] == 1
