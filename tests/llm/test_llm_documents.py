@@ -268,3 +268,10 @@ def test_search_uses_all_terms_as_registered(spark):
     df = frame(spark, rows)
     best = bm25_search.top_k(df, df.where("doc_id = 0"), 1).first()
     assert bm25_search.SETTINGS.query_terms is None and best["doc_id"] == 1
+
+
+def test_repeated_ids_do_not_push_out_others(spark):
+    rows = [(20, "a b c")] + [(1, "a b c")] * 12 + [(i, "a x y z") for i in range(2, 8)]
+    df = frame(spark, rows).coalesce(1)
+    got = bm25_search.top_k(df, df.where("doc_id = 20"), 5).orderBy("rank").collect()
+    assert [r["doc_id"] for r in got] == [1, 2, 3, 4, 5]
