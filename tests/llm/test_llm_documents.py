@@ -275,3 +275,11 @@ def test_repeated_ids_do_not_push_out_others(spark):
     df = frame(spark, rows).coalesce(1)
     got = bm25_search.top_k(df, df.where("doc_id = 20"), 5).orderBy("rank").collect()
     assert [r["doc_id"] for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_registered_scores_use_two_words_of_context(spark):
+    rows = [(1, "a b c"), (2, "a b c"), (3, "x b d"), (4, "x b d"), (5, "x b c")]
+    got = {r["doc_id"]: r["log_score"] for r in lm_score.scores(frame(spark, rows)).collect()}
+    want, two = backoff_scores(rows, 3), backoff_scores(rows, 2)
+    assert want[1][1] != pytest.approx(two[1][1])
+    assert all(got[i] == pytest.approx(want[i][1], rel=1e-9) for i in got)
