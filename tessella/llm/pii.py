@@ -2,16 +2,16 @@
 
 Regular expressions find base spans: e-mail addresses, IP addresses, card and phone
 numbers. They seed a graph. Its instances are identifier-like tokens (with a digit or an
-@), its patterns the words next to them. A pattern scores by the share of its different
-instances that are known for a kind, an instance by its best pattern; a few rounds of
-scoring spread from the seeds, and tokens next to high-confidence patterns become new
-spans of that kind. Base spans stay as they are.
+@), its patterns the words next to them. A pattern scores by the share of one kind
+among its different instances that are known; instances of no known kind don't count
+against it. Tokens next to high-confidence patterns become known, and so new spans, of
+that kind; they count for other patterns as seeds do, until nothing more is found. Base
+spans stay as they are.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +40,8 @@ RUN = 256
 
 @dataclass(frozen=True)
 class BootstrapSettings:
-    rounds: int = 3
     confidence: float = 0.9  # of a pattern that may name new identifiers
-    seeds: int = 5  # different known instances such a pattern needs
+    seeds: int = 5  # different known instances such a pattern needs, found ones included
     context: int = 40  # characters of a context word, at most
 
 
@@ -191,27 +190,25 @@ def discovered(rows: DataFrame, settings: BootstrapSettings) -> DataFrame:
     )
     edges = seen.select(F.explode(sides).alias("pattern"), "token", "kind").distinct()
     edges = written(edges, "edges")
-    # Seeds count fully, once and for all; what is open may gain a score.
-    counts = [F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in KINDS]
-    known = edges.groupBy("pattern").agg(F.count("*").alias("n"), *counts)
-    known = written(known.where(reduce(lambda a, b: a | b, [F.col(f"n_{k}") >= settings.seeds for k in KINDS])), "known")
-    open_ = written(edges.where("kind IS NULL").join(known.select("pattern"), "pattern").select("pattern", "token"), "open")
-    scores = None
-    for _ in range(settings.rounds):
-        gained = known.select("pattern", *[F.lit(0.0).alias(f"g_{k}") for k in KINDS])
-        if scores is not None:
-            gained = open_.join(scores, "token").groupBy("pattern").agg(*[F.sum(f"s_{k}").alias(f"g_{k}") for k in KINDS])
-        patterns = known.join(gained, "pattern", "left")
-        # One more than its instances: a pattern seen few times is not sure.
-        sure = {k: (F.col(f"n_{k}") + F.coalesce(f"g_{k}", F.lit(0.0))) / (F.col("n") + 1) for k in KINDS}
-        sure = {k: F.when((x >= settings.confidence) & (F.col(f"n_{k}") >= settings.seeds), x).otherwise(0.0) for k, x in sure.items()}
-        patterns = patterns.select("pattern", *[x.alias(f"s_{k}") for k, x in sure.items()])
-        patterns = patterns.where(F.greatest(*[f"s_{k}" for k in KINDS]) > 0)
-        scores = open_.join(patterns, "pattern").groupBy("token").agg(*[F.max(f"s_{k}").alias(f"s_{k}") for k in KINDS])
-        scores = written(scores, "scores")
-    best = F.greatest(*[f"s_{k}" for k in KINDS])
-    kind = F.coalesce(*[F.when(F.col(f"s_{k}") == best, F.lit(k)) for k in KINDS])
-    named = scores.where(best >= settings.confidence).select("token", kind.alias("kind"))
+    open_ = written(edges.where("kind IS NULL").select("pattern", "token"), "open")
+    seeds = edges.where("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count("*").alias("n"))
+    seeds = written(seeds, "seeds")
+    named = written(open_.select("token", F.lit("").alias("kind")).limit(0), "named")
+    place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    while True:
+        gained = open_.join(named, "token").groupBy("pattern", "kind").agg(F.count("*").alias("n"))
+        known = seeds.union(gained).groupBy("pattern", "kind").agg(F.sum("n").alias("n"))
+        kinds = known.groupBy("pattern").agg(F.max(F.struct("n", (-place).alias("place"), "kind")).alias("best"), F.sum("n").alias("all"))
+        sure = F.col("best.n") / F.col("all")
+        patterns = kinds.where((sure >= settings.confidence) & (F.col("best.n") >= settings.seeds))
+        patterns = patterns.select("pattern", sure.alias("sure"), "best.n", "best.place", "best.kind")
+        # A token takes the kind of its surest pattern, for good: the rounds come to an end.
+        new = open_.join(named, "token", "left_anti").join(patterns, "pattern")
+        new = new.groupBy("token").agg(F.max(F.struct("sure", "n", "place", "kind"))["kind"].alias("kind"))
+        new = written(new, "new")
+        if new.isEmpty():
+            break
+        named = written(named.union(new), "named")
     return seen.where("kind IS NULL").drop("kind").join(named, "token").select("row", "doc_id", "kind", "start", "end")
 
 

@@ -283,3 +283,17 @@ def test_registered_scores_use_two_words_of_context(spark):
     want, two = backoff_scores(rows, 3), backoff_scores(rows, 2)
     assert want[1][1] != pytest.approx(two[1][1])
     assert all(got[i] == pytest.approx(want[i][1], rel=1e-9) for i in got)
+
+
+def test_patterns_spread_two_hops_and_past_unknown_instances(spark):
+    # Five seeds, ten unknown tokens in the seeds' context, these in a second context, more tokens there.
+    rows = [(i, f"reach: user{i}@x.org now") for i in range(5)]
+    rows += [(100 + i, f"reach: nick{i} now") for i in range(10)]
+    rows += [(200 + i, f"handle= nick{i} end") for i in range(10)] + [(300, "handle= far9 end")]
+    # A context that several kinds share names nothing.
+    rows += [(400 + i, f"mixed: user{i}@x.org too") for i in range(6)]
+    rows += [(500 + i, f"mixed: 10.0.0.{i} too") for i in range(6)] + [(600, "mixed: thing7 too")]
+    spans = {r["doc_id"]: r["spans"] for r in pii.span_digests(frame(spark, rows)).collect()}
+    assert all(spans[100 + i] == "email:7:12" for i in range(10))
+    assert all(spans[200 + i] == "email:8:13" for i in range(10))
+    assert spans[300] == "email:8:12" and spans[600] == ""
