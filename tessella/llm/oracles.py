@@ -45,4 +45,39 @@ SELECT doc_id, source, n_tokens, block, place,
 FROM placed
 """
 
-ORACLES = {"op9_mixing": MIXING}
+# The term pattern, 1000, 100, 25, 12 and 20 of the score.
+RANKED = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS doc,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM words WHERE len(ts) > 0),
+norms AS (
+  SELECT doc_id, doc, ts, 100 - 25 + ((25 * len(ts) * n_docs) // n_terms) AS m
+  FROM words CROSS JOIN totals WHERE len(ts) > 0),
+asked AS (
+  SELECT item_id, item, term, count(*) AS times
+  FROM (SELECT item_id, item, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT *, row_number() OVER () AS item FROM benchmark))
+  GROUP BY ALL),
+postings AS (
+  SELECT doc_id, doc, m, term, count(*) AS tf
+  FROM (SELECT doc_id, doc, m, unnest(ts) AS term FROM norms)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term) CROSS JOIN totals),
+scored AS (
+  SELECT item_id, item, doc_id, doc,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
+ORACLES = {"op9_mixing": MIXING, "op13_ranked_search": RANKED}
