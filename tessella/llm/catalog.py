@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import bm25_search, bpe_codec, graph_search, lm_score, mixing, near_dedup, oracles, pii
-from tessella.llm import quality, ranked_search, token_counts, url_rules
+from tessella.llm import quality, ranked_search, substring_dedup, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def op10_quality(spark, folder):
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_substring_dedup(spark, folder):
+    return substring_dedup.kept_digests(table(spark, folder, "documents"))
+
+
 def op13_ranked_search(spark, folder):
     return ranked_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = dict(oracles.ORACLES)

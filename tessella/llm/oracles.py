@@ -80,4 +80,30 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, d
 WHERE rank <= 20
 """
 
-ORACLES = {"op9_mixing": MIXING, "op13_ranked_search": RANKED}
+# The word pattern and windows of 50.
+REPEATS = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS doc, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws
+  FROM documents),
+starts AS (
+  SELECT doc_id, doc, i, md5(array_to_string(ws[i:i + 49], ' ')) AS w
+  FROM (SELECT *, unnest(generate_series(1, len(ws) - 49)) AS i FROM words
+        WHERE len(ws) >= 50 AND doc_id IS NOT NULL)),
+hits AS (
+  SELECT doc, i FROM starts JOIN (SELECT w, min(doc_id) AS least FROM starts GROUP BY w) USING (w)
+  WHERE least < doc_id),
+placed AS (SELECT doc, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS i FROM words WHERE len(ws) > 0),
+judged AS (
+  SELECT p.doc, p.i, word,
+         max(h.i IS NOT NULL) OVER (PARTITION BY p.doc ORDER BY p.i ROWS 49 PRECEDING) AS covered
+  FROM placed p LEFT JOIN hits h ON p.doc = h.doc AND p.i = h.i),
+kept AS (
+  SELECT doc, CAST(count(*) FILTER (covered) AS BIGINT) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT covered) AS kept
+  FROM judged GROUP BY doc)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc)
+"""
+
+ORACLES = {"op12_substring_dedup": REPEATS, "op9_mixing": MIXING, "op13_ranked_search": RANKED}
