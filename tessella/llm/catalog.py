@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bm25_search, bpe_codec, graph_search, lm_score, mixing, near_dedup, oracles, pii
-from tessella.llm import quality, ranked_search, substring_dedup, token_counts, url_rules
+from tessella.llm import bm25_search, bpe_codec, conversation_repair, graph_search, lm_score, mixing, near_dedup
+from tessella.llm import oracles, pii, quality, ranked_search, substring_dedup, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op10_quality(spark, folder):
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_conversation_repair(spark, folder):
+    conversations = table(spark, folder, "conversations")
+    return conversation_repair.report(conversations, conversation_repair.damaged(conversations))
+
+
 def op12_substring_dedup(spark, folder):
     return substring_dedup.kept_digests(table(spark, folder, "documents"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_ranked_search": op13_ranked_search,
 }

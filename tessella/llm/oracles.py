@@ -106,4 +106,71 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_r
 FROM words LEFT JOIN kept USING (doc)
 """
 
-ORACLES = {"op12_substring_dedup": REPEATS, "op9_mixing": MIXING, "op13_ranked_search": RANKED}
+# The reversed CRC polynomial, damages 0 to 4 of 20, the patterns, costs 3, 2, 2, 1.
+REPAIR = r"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_concat([4294967295], list_transform(string_split(
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)) AS bytes
+  FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(bytes, lambda crc, byte: list_reduce(
+           list_concat([xor(crc, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+           lambda c, z: xor(c >> 1, (c & 1) * 3988292384))), 4294967295) % 20 AS kind
+  FROM hashed),
+rows AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, (SELECT unnest([1, 2]) AS copy) WHERE kind != 0 AND (copy = 1 OR kind = 3)),
+faults AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS ini,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS i,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN nth > 1 THEN 2
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM rows)),
+parse AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': '', 'r': ''} AS e0, {'c': 1000000000::BIGINT, 'a': '', 'r': ''} AS e1,
+         {'c': 1000000000::BIGINT, 'a': '', 'r': ''} AS e2, {'c': 1000000000::BIGINT, 'a': '', 'r': ''} AS e3
+  FROM (SELECT DISTINCT conv_id FROM faults)
+  UNION ALL
+  SELECT conv_id, here,
+    {'c': e0.c + 3, 'a': e0.a || 'D', 'r': e0.r},
+    list_min([{'c': e1.c + 3, 'a': e1.a || 'D', 'r': e1.r},
+              {'c': e0.c + CASE WHEN stays AND ini = 's' THEN more ELSE 1000000000 END, 'a': e0.a || 'K', 'r': e0.r || own}]),
+    list_min([{'c': t2.c + 3, 'a': t2.a || 'D', 'r': t2.r},
+              {'c': f.c + CASE WHEN stays AND ini = 'u' THEN more ELSE 1000000000 END, 'a': f.a || 'K', 'r': f.r || own},
+              {'c': f.c + CASE WHEN stays THEN 2 + more ELSE 1000000000 END, 'a': f.a || 'R', 'r': f.r || chr(10) || 'user:' || text}]),
+    list_min([{'c': t3.c + 3, 'a': t3.a || 'D', 'r': t3.r},
+              {'c': t2.c + CASE WHEN stays AND ini = 'a' THEN more ELSE 1000000000 END, 'a': t2.a || 'K', 'r': t2.r || own},
+              {'c': t2.c + CASE WHEN stays THEN 2 + more ELSE 1000000000 END, 'a': t2.a || 'R', 'r': t2.r || chr(10) || 'assistant:' || text}])
+  FROM (
+    SELECT *, list_min([e0, e1, t3]) AS f
+    FROM (
+      SELECT *, list_min([e3, {'c': t2.c + 2, 'a': t2.a || 'I', 'r': t2.r || chr(10) || 'assistant:'}]) AS t3
+      FROM (
+        SELECT p.*, w.i AS here, ini, text, chr(10) || role || ':' || text AS own, fault IN (0, 3) AS stays,
+               CASE fault WHEN 3 THEN 1 ELSE 0 END AS more,
+               list_min([e2, {'c': g.c + 2, 'a': g.a || 'I', 'r': g.r || chr(10) || 'user:'}]) AS t2
+        FROM (SELECT *, list_min([e0, e1, e3]) AS g FROM parse) p
+        JOIN faults w ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND w.i = p.i + 1)))),
+ends AS (
+  SELECT conv_id, list_min([e0, e3, {'c': t2.c + 2, 'a': t2.a || 'I', 'r': t2.r || chr(10) || 'assistant:'}]) AS best
+  FROM (
+    SELECT *, list_min([e2, {'c': g.c + 2, 'a': g.a || 'I', 'r': g.r || chr(10) || 'user:'}]) AS t2
+    FROM (SELECT *, list_min([e0, e1, e3]) AS g FROM parse)
+    WHERE (conv_id, i) IN (SELECT (conv_id, max(i)) FROM faults GROUP BY conv_id))),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM faults) GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+ORACLES = {"op11_conversation_repair": REPAIR, "op12_substring_dedup": REPEATS, "op9_mixing": MIXING, "op13_ranked_search": RANKED}
