@@ -273,7 +273,8 @@ def report(original: DataFrame, rows: DataFrame, settings: RepairSettings = SETT
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of
     every conversation of ``original``, whose rows now are ``rows`` (conv_id, turn, role, text).
 
-    A null conv_id is a conversation of its own. Null roles and texts count as one space.
+    A null conv_id is a conversation of its own. Null roles and texts count as one space;
+    an empty role, as any other beside s, u and a, fits nowhere in the pattern.
     Rows go by turn, nulls first, ties by role and then text; equal rows are duplicates of
     the first. Gaps leave null turns out; they are null where they exceed 64 bits. A
     conversation without rows has zeros, an empty audit and the hash of the empty text. Very
