@@ -82,7 +82,7 @@ def seeded_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Silhouettes of ``labelled_by_k``."""
     df, labels = labelled_by_k(spark, folder)
     with persisted(df.select(SCALED, *labels.values())) as scored:
-        return evaluation.score_labels(scored, labels, SCALED, CONFIG.parallelism)[0]
+        return evaluation.score_labels(scored, labels)[0]
 
 
 def labelled_profiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,7 +198,7 @@ def kmeans_lloyd_step(spark, folder):
 
 def silhouette_score(spark, folder):
     with persisted(labelled(spark, folder).select(SCALED, "cluster")) as df:
-        return rounded(evaluation.score_labels(df, {K: "cluster"}, SCALED)[0], "silhouette_score")
+        return rounded(evaluation.score_labels(df, {K: "cluster"})[0], "silhouette_score")
 
 
 def cluster_sizes(spark, folder):
@@ -225,8 +225,8 @@ def compare_rule(spark, folder):
     df = labelled(spark, folder).withColumn("by_id", (F.col(ID) % K).cast("int"))
     with persisted(df.select(SCALED, "cluster", "by_id")) as scored:
         rows = [
-            ("kmeans", evaluation.silhouette(scored, "cluster", SCALED)),
-            ("bisecting_kmeans", evaluation.silhouette(scored, "by_id", SCALED)),
+            ("kmeans", evaluation.silhouette(scored, "cluster")),
+            ("bisecting_kmeans", evaluation.silhouette(scored, "by_id")),
         ]
     scores = spark.createDataFrame(rows, "algorithm string, silhouette_score double")
     return rounded(evaluation.compare(scores), "kmeans", "bisecting_kmeans", "delta")
@@ -367,7 +367,7 @@ def sweep_by_country(spark, folder):
 def compare_by_country(spark, folder):
     with clustering.fit_table(bank_customers(spark, folder), BY_COUNTRY) as fit:
         model = clustering.fit_kmeans(fit.table, COUNTRIES, BY_COUNTRY)
-        score = evaluation.silhouette(clustering.assign(fit.table, model), "cluster", SCALED)
+        score = evaluation.silhouette(clustering.assign(fit.table, model), "cluster")
         compared = clustering.compare_algorithms(fit, score, COUNTRIES, BY_COUNTRY)
     return rounded(compared, "kmeans", "bisecting_kmeans", "delta")
 
@@ -403,7 +403,7 @@ def compare_algorithms(spark, folder):
     with clustering.fit_table(bank_customers(spark, folder), CONFIG) as fit:
         model = clustering.fit_kmeans(fit.table, K, CONFIG)
         labelled = clustering.assign(fit.table, model)
-        score = evaluation.silhouette(labelled, "cluster", SCALED)
+        score = evaluation.silhouette(labelled, "cluster")
         return clustering.compare_algorithms(fit, score, K, CONFIG)
 
 

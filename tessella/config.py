@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 
@@ -9,7 +10,10 @@ from dataclasses import dataclass
 class SegmentationConfig:
     """Which columns play which part, and how the clusterers are set up.
 
-    ``outcome`` is never a feature: it is only averaged per finished segment.
+    ``numeric`` and ``categorical`` columns are features. ``flags`` names those numbers that
+    are 0 or 1: their means are shares. ``described`` numbers are averaged per segment and
+    ``carried`` columns only stay in the labelled table. ``outcome`` is never a feature: it
+    is only averaged per finished segment, and may be None.
     """
 
     id_col: str = "customer_id"
@@ -25,7 +29,10 @@ class SegmentationConfig:
         "estimated_salary",
     )
     categorical: tuple[str, ...] = ("country", "gender")
-    outcome: str = "churn"
+    flags: tuple[str, ...] = ("credit_card", "active_member")
+    described: tuple[str, ...] = ()
+    carried: tuple[str, ...] = ()
+    outcome: str | None = "churn"
 
     # Sweep range, seed and iteration limit of the published run.
     min_k: int = 2
@@ -51,7 +58,17 @@ class SegmentationConfig:
 
     @property
     def columns(self) -> tuple[str, ...]:
-        return (self.id_col,) + self.numeric + self.categorical + (self.outcome,)
+        """Every column with a part, once."""
+        outcome = (self.outcome,) if self.outcome else ()
+        parts = (self.id_col,) + self.numeric + self.categorical + self.described + self.carried + outcome
+        return tuple(dict.fromkeys(parts))
+
+    def columns_of(self, df_columns: Sequence[str]) -> list[str]:
+        """The columns with a part in the order of a table, which must have them all."""
+        absent = [c for c in self.columns if c not in df_columns]
+        if absent:
+            raise ValueError(f"the table has no columns {absent}")
+        return [c for c in df_columns if c in self.columns]
 
     @property
     def ks(self) -> range:

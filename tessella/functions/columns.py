@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,24 +36,25 @@ def silhouette_band(score: Column) -> Column:
     )
 
 
-def segment_name(
-    cluster: Column,
-    median_balance: Column,
-    median_salary: Column,
-    median_products: Column,
-) -> Column:
-    """Business name of a profile row; the first rule that holds wins."""
-    balance, salary = F.col("avg_balance"), F.col("avg_salary")
-    return (
-        F.when((balance > median_balance) & (salary > median_salary), HIGH_VALUE)
-        .when(
-            (F.col("avg_age") < YOUNG_BELOW_AGE) & (F.col("avg_tenure") < NEW_BELOW_TENURE), YOUNG
-        )
-        .when(F.col("pct_active") < INACTIVE_BELOW, INACTIVE)
-        .when(F.col("avg_products") > median_products, MULTI_PRODUCT)
-        .when(balance < median_balance, LOW_BALANCE)
-        .otherwise(F.concat(F.lit(STANDARD), cluster.cast("string")))
-    )
+def segment_name(cluster: Column, known: Collection[str], medians: Mapping[str, Column]) -> Column:
+    """Business name of a profile row; the first rule that holds wins.
+
+    ``known`` are the profile's columns, ``medians`` those of the averages that rules
+    compare with them. A rule on a column that the profile has not is left out.
+    """
+    at, median = F.col, medians.get
+    rules = [
+        (("avg_balance", "avg_salary"), HIGH_VALUE, lambda: (at("avg_balance") > median("avg_balance")) & (at("avg_salary") > median("avg_salary"))),
+        (("avg_age", "avg_tenure"), YOUNG, lambda: (at("avg_age") < YOUNG_BELOW_AGE) & (at("avg_tenure") < NEW_BELOW_TENURE)),
+        (("pct_active",), INACTIVE, lambda: at("pct_active") < INACTIVE_BELOW),
+        (("avg_products",), MULTI_PRODUCT, lambda: at("avg_products") > median("avg_products")),
+        (("avg_balance",), LOW_BALANCE, lambda: at("avg_balance") < median("avg_balance")),
+    ]
+    name = F.concat(F.lit(STANDARD), cluster.cast("string"))
+    for needs, title, holds in reversed(rules):
+        if set(needs) <= set(known):
+            name = F.when(holds(), title).otherwise(name)
+    return name
 
 
 def squared_distance(x: Column, centre: Sequence[float]) -> Column:

@@ -21,9 +21,9 @@ from tessella.functions.columns import centre_distances, nearest
 from tessella.operators.evaluation import (
     SCORES,
     compare,
-    count_by_k,
     run_side_by_side,
     silhouette,
+    silhouettes,
     sizes_table,
 )
 from tessella.operators.features import (
@@ -34,20 +34,23 @@ from tessella.operators.features import (
     fitted_scaler,
     uncentred,
 )
-from tessella.operators.layout import checkpointed, materialised, persisted, pin_layout
+from tessella.operators.inspection import summary_columns
+from tessella.operators.layout import checkpointed, observed, persisted, pin_layout
+from tessella.operators.quality import incomplete
 
 
 @dataclass(frozen=True)
 class FitTable:
     """Features ready for fitting.
 
-    ``customers`` is the materialised input and ``model`` turns it into
-    features. ``table`` holds just id and feature vectors, in pinned layout:
+    ``customers`` is the materialised input, ``summary`` one row that its write has counted
+    (sizes, missing values, moments), and ``model`` turns it into features. ``table`` holds just id and feature vectors, in pinned layout:
     the assembled vectors are checkpointed, and persisted for as long as the
     ``fit_table`` block lasts; scaling them is cheaper than storing them twice.
     """
 
     customers: DataFrame
+    summary: DataFrame
     model: PipelineModel
     table: DataFrame
 
@@ -63,17 +66,19 @@ def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
 
     One shuffle, of ids and assembled vectors; all else is row-wise.
     """
-    customers = materialised(df.select(*config.columns))
+    narrow = df.select(*config.columns_of(df.columns))
+    told = summary_columns(narrow.schema) | {"_incomplete": incomplete(config.numeric)}
+    customers, summary = observed(narrow, told, "customers")
     model = fit_features(customers, config)
     pinned = pin_layout(
         model.transform(customers).select(config.id_col, RAW),
         [F.col(config.id_col), vector_to_array(RAW)],
-        customers.count(),
+        summary.first()["_rows"],
         config.rows_per_partition,
     )
     raw = checkpointed(pinned)
     with persisted(raw):
-        yield FitTable(customers, model, fitted_scaler(model).transform(raw))
+        yield FitTable(customers, summary, model, fitted_scaler(model).transform(raw))
 
 
 def fit_kmeans(table: DataFrame, k: int, config: SegmentationConfig) -> KMeansModel:
@@ -147,7 +152,7 @@ def sweep(fit: FitTable, config: SegmentationConfig) -> Sweep:
     """Fit and score K-Means for every k of the configured range.
 
     The fits share one persisted table; ``config.parallelism`` of them run at once. Sizes
-    for all k come from one pass, and only labellings of two clusters or more are scored.
+    and scores for all k come from two passes.
     """
     spark = fit.table.sparkSession
     # The largest k takes longest, so it starts first.
@@ -157,18 +162,12 @@ def sweep(fit: FitTable, config: SegmentationConfig) -> Sweep:
     labels, labelled = label_names(config.ks), fit.table
     for k, model in models.items():
         labelled = assign(labelled, model, labels[k])
-    counted = count_by_k(labelled, labels)
-
-    def score(k: int) -> float | None:
-        return silhouette(assign(fit.table, models[k]), "cluster", SCALED, counted[k])
-
-    scores = dict(zip(ks, run_side_by_side(spark, score, ks, config.parallelism)))
-    score_of = {k: scores[k] for k in config.ks}
+    scores, sizes = silhouettes(labelled, labels)
     return Sweep(
         models=models,
-        score_of=score_of,
-        scores=spark.createDataFrame(list(score_of.items()), SCORES),
-        sizes=sizes_table(spark, counted),
+        score_of=scores,
+        scores=spark.createDataFrame(list(scores.items()), SCORES),
+        sizes=sizes_table(spark, sizes),
     )
 
 
@@ -180,7 +179,7 @@ def compare_algorithms(
     labelled = assign_bisecting(fit.table, fit.model, bisecting)
     scores = [
         ("kmeans", kmeans_score),
-        ("bisecting_kmeans", silhouette(labelled, "cluster", SCALED)),
+        ("bisecting_kmeans", silhouette(labelled, "cluster")),
     ]
     spark = fit.table.sparkSession
     return compare(spark.createDataFrame(scores, "algorithm string, silhouette_score double"))

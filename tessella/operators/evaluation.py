@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import silhouette_band
+from tessella.operators.features import SCALED
 
 SCORES = "k int, silhouette_score double"
 
@@ -30,46 +33,67 @@ def run_side_by_side(
         return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
-def silhouette(
-    df: DataFrame,
-    label: str,
-    features: str = "features",
-    sizes: Mapping[int, int] | None = None,
-) -> float | None:
-    """Mean silhouette under squared Euclidean distance, None for one cluster.
+def silhouettes(
+    df: DataFrame, labels: Mapping[int, str], features: str = SCALED
+) -> tuple[dict[int, float | None], dict[int, dict[int, int]]]:
+    """Mean silhouette under squared Euclidean distance, and cluster sizes, of several
+    label columns by their key, in two passes for all of them.
 
-    ``sizes`` of the clusters, where they are known, save a pass.
-
-    Two passes over the rows and k x d numbers per task: distances to a whole
-    cluster follow from its size, sum and sum of squares, so no pair of rows
-    is ever formed.
+    The mean distance of a row to a whole cluster follows from the cluster's size, sum and
+    sum of squares. The first pass adds these up for every column and cluster, combined
+    map-side; the second averages the scores of all columns, which are written out over
+    the numbers of the clusters, so no pair of rows is formed. A labelling of one cluster
+    has no score (None); a cluster of one row scores 0, as do rows with both means equal.
     """
-    if sizes is None:
-        sizes = {r[label]: r["size"] for r in cluster_sizes(df, label).collect()}
-    if sum(n > 0 for n in sizes.values()) < 2:
-        return None
-    return ClusteringEvaluator(
-        predictionCol=label,
-        featuresCol=features,
-        metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    ).evaluate(df)
-
-
-def score_labels(
-    df: DataFrame, labels: Mapping[int, str], features: str = "features", at_once: int = 1
-) -> tuple[DataFrame, DataFrame]:
+    point = vector_to_array(features)
+    square = F.aggregate(point, F.lit(0.0), lambda total, x: total + x * x)
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("cluster")) for k, c in labels.items()])
+    rows = df.select(F.col(features).alias("point"), square.alias("square"), F.explode(pairs).alias("at"))
+    sums = rows.groupBy("at.k", "at.cluster").agg(
+        F.count("*").alias("n"), Summarizer.sum(F.col("point")).alias("total"), F.sum("square").alias("square")
+    )
+    clusters: dict[int, dict[int, tuple]] = {k: {} for k in labels}
+    for r in sums.collect():
+        clusters[r["k"]][r["cluster"]] = (r["n"], r["total"].toArray().tolist(), r["square"])
+    sizes = {k: {c: part[0] for c, part in sorted(found.items())} for k, found in clusters.items()}
+    scored = {k: dict(sorted(found.items())) for k, found in clusters.items() if len(found) > 1}
+    if not scored:
+        return dict.fromkeys(labels), sizes
+    width = len(next(iter(next(iter(scored.values())).values()))[1])
+    points = df.select(*[labels[k] for k in scored], point.alias("_point"), square.alias("_square"))
+    # Plain columns and literals, which generated code adds up; each distance is one column.
+    points = points.select("*", *[F.get("_point", F.lit(i)).alias(f"_x{i}") for i in range(width)])
+
+    def mean_distance(n: int, total: list[float], squares: float) -> Column:
+        inner = reduce(lambda a, b: a + b, [F.col(f"_x{i}") * (2.0 * t / n) for i, t in enumerate(total)])
+        return F.col("_square") + squares / n - inner
+
+    far = {f"_{k}_{c}": mean_distance(*part) for k, found in scored.items() for c, part in found.items()}
+    points = points.select(*[labels[k] for k in scored], *[d.alias(name) for name, d in far.items()])
+
+    def score(k: int) -> Column:
+        label, names = F.col(labels[k]), {c: F.col(f"_{k}_{c}") for c in scored[k]}
+        own = F.coalesce(*[F.when(label == c, d * (n / (n - 1) if n > 1 else 0.0)) for (c, d), n in zip(names.items(), sizes[k].values())])
+        others = [F.when(label != c, d) for c, d in names.items()]
+        other = F.least(*others) if len(others) > 1 else others[0]
+        alone = label.isin([c for c, n in sizes[k].items() if n == 1])
+        return F.when(alone | (own == other), 0.0).when(own < other, 1 - own / other).otherwise(other / own - 1)
+
+    row = points.agg(*[F.avg(score(k)).alias(f"s{k}") for k in scored]).first()
+    return {k: row[f"s{k}"] if k in scored else None for k in labels}, sizes
+
+
+def silhouette(df: DataFrame, label: str, features: str = SCALED) -> float | None:
+    """The mean silhouette of one label column, None for one cluster. Two passes."""
+    return silhouettes(df, {0: label}, features)[0][0]
+
+
+def score_labels(df: DataFrame, labels: Mapping[int, str], features: str = SCALED) -> tuple[DataFrame, DataFrame]:
     """``(k, silhouette_score)`` and ``(k, cluster, size)`` for several label columns of
-    one table. The sizes of all come from one pass, before any score."""
+    one table."""
     spark = df.sparkSession
-    counted = count_by_k(df, labels)
-
-    def score(item):
-        k, label = item
-        return k, silhouette(df.select(features, label), label, features, counted[k])
-
-    rows = run_side_by_side(spark, score, labels.items(), at_once)
-    return spark.createDataFrame(rows, SCORES), sizes_table(spark, counted)
+    scores, sizes = silhouettes(df, labels, features)
+    return spark.createDataFrame(list(scores.items()), SCORES), sizes_table(spark, sizes)
 
 
 def cluster_sizes(df: DataFrame, label: str = "cluster") -> DataFrame:

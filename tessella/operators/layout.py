@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from math import ceil
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessella.session import scratch_path, shared_dir
@@ -22,7 +22,7 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def materialised(df: DataFrame) -> DataFrame:
+def materialised(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 
     For a table that several passes read, each its own columns: the plan below
@@ -30,11 +30,21 @@ def materialised(df: DataFrame) -> DataFrame:
     lost.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "table")
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, aggregates: Mapping[str, Column], name: str = "table") -> tuple[DataFrame, DataFrame]:
+    """``materialised(df)`` and one row of aggregates over it, which are added up by the
+    tasks that write it: they cost no further scan. The row is held as it is."""
+    spark, told = df.sparkSession, Observation()
+    columns = [c.alias(alias) for alias, c in aggregates.items()]
+    table = materialised(df.observe(told, *columns), name)
+    row = told.get
+    return table, spark.createDataFrame([tuple(row[alias] for alias in aggregates)], df.agg(*columns).schema)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` checkpointed in the shared folder, partition by partition.
 

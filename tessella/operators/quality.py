@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import percent
@@ -17,13 +17,17 @@ def non_null_counts(df: DataFrame) -> DataFrame:
 
 def missing_values(df: DataFrame) -> DataFrame:
     """Missing count and percent per column. NULL is missing, NaN is a value."""
-    total = "_total_rows"
-    counts = df.agg(F.count("*").alias(total), *[F.count(c).alias(c) for c in df.columns])
-    missing = F.col(total) - F.col("non_null")
-    return counts.unpivot([total], df.columns, "column_name", "non_null").select(
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
+    return missing_table(counts, df.columns)
+
+
+def missing_table(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """From one row: ``_rows`` and the non-null count of each column."""
+    missing = F.col("_rows") - F.col("non_null")
+    return counts.unpivot(["_rows"], list(columns), "column_name", "non_null").select(
         "column_name",
         missing.alias("missing"),
-        F.round(percent(missing, F.col(total)), 2).alias("missing_percent"),
+        F.round(percent(missing, F.col("_rows")), 2).alias("missing_percent"),
     )
 
 
@@ -31,9 +35,19 @@ def missing_columns(df: DataFrame) -> DataFrame:
     return missing_values(df).filter("missing > 0")
 
 
+def incomplete(numeric: Sequence[str]) -> Column:
+    """How many rows have a NULL or NaN in a numeric feature."""
+    bad = reduce(lambda a, b: a | b, [F.isnull(c) | F.isnan(F.col(c).cast("double")) for c in numeric], F.lit(False))
+    return F.count_if(bad)
+
+
 def left_out(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """How many customers have all numeric features, and how many are left out under
     ``invalid="skip"`` because one is NULL or NaN. One aggregate."""
-    bad = reduce(lambda a, b: a | b, [F.isnull(c) | F.isnan(F.col(c).cast("double")) for c in numeric], F.lit(False))
-    missing = F.count_if(bad)
-    return df.agg((F.count("*") - missing).alias("clustered"), missing.alias("left_out"))
+    return left_out_table(df.agg(F.count("*").alias("_rows"), incomplete(numeric).alias("_incomplete")))
+
+
+def left_out_table(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        (F.col("_rows") - F.col("_incomplete")).alias("clustered"), F.col("_incomplete").alias("left_out")
+    )

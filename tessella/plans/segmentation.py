@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
 from tessella.operators import evaluation, inspection, profiles, quality
@@ -17,7 +18,6 @@ from tessella.operators.clustering import (
     fit_table,
     sweep,
 )
-from tessella.operators.features import SCALED
 from tessella.operators.layout import gathered
 from tessella.sources.customers import read_customers_csv
 from tessella.sinks.tables import write_csv, write_parquet
@@ -31,6 +31,7 @@ class Segmentation:
     cluster or k were computed once and are held as they are.
     """
 
+    config: SegmentationConfig
     features_model: PipelineModel
     model: KMeansModel
     best_k: int
@@ -58,7 +59,7 @@ class Segmentation:
         write_csv(self.scores, f"{folder}/kmeans_evaluation", files=1)
         write_csv(self.profiles, f"{folder}/cluster_profiles", files=1)
         write_csv(self.churn, f"{folder}/churn_by_cluster", files=1)
-        labelled = profiles.clustered_customers(self.labelled)
+        labelled = profiles.clustered_customers(self.labelled, self.config)
         if labelled_as == "csv":
             write_csv(labelled, f"{folder}/clustered_customers")
         else:
@@ -87,21 +88,25 @@ def segment_customers(
             model, score = swept.models[chosen], swept.score_of[chosen]
         else:
             model = fit_kmeans(fit.table, chosen, config)
-            score = evaluation.silhouette(assign(fit.table, model), "cluster", SCALED)
+            score = evaluation.silhouette(assign(fit.table, model), "cluster")
         comparison = compare_algorithms(fit, score, chosen, config)
     labelled = assign(fit.features, model)
-    summary = gathered(profiles.cluster_summary(labelled, config.outcome))
+    summary = gathered(profiles.cluster_summary(labelled, config))
     profile = summary.drop("churn_rate")
+    # The write of the customers has counted all this; only the head is read.
+    told, kinds = fit.summary, fit.customers.schema
+    counts = told.select("_rows", *[F.col(f"{c}.count").alias(c) for c in kinds.names])
     return Segmentation(
+        config=config,
         features_model=fit.model,
         model=model,
         best_k=chosen,
-        schema=inspection.schema_report(fit.customers),
+        schema=inspection.schema_table(told, kinds),
         head=inspection.head_records(fit.customers, config.id_col),
-        statistics=inspection.describe_numeric(fit.customers),
-        strings=inspection.describe_strings(fit.customers),
-        missing=quality.missing_columns(fit.customers),
-        left_out=quality.left_out(fit.customers, config.numeric),
+        statistics=inspection.numeric_table(told, kinds),
+        strings=inspection.string_table(told, kinds),
+        missing=quality.missing_table(counts, kinds.names).filter("missing > 0"),
+        left_out=quality.left_out_table(told),
         scores=swept.scores,
         sizes=swept.sizes,
         comparison=comparison,

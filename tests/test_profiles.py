@@ -75,7 +75,7 @@ def test_compare(spark, kmeans, bisecting, winner):
 def test_report_reads_the_customers_once(spark):
     df = spark.range(100).select(
         (F.col("id") % 3).cast("int").alias("cluster"),
-        *[F.col("id").alias(c) for c in profiles.PROFILE_MEANS.values()],
+        *[F.col("id").alias(c) for c in profiles.profile_means().values()],
     )
     report = profiles.segment_report(profiles.cluster_profiles(df))
     plan = report._jdf.queryExecution().executedPlan().toString()
