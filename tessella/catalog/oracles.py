@@ -278,7 +278,58 @@ MISSING = (
 BY_COUNTRY = """SELECT customer_id, min(customer_id) OVER (PARTITION BY country) AS first_member,
        count(*) OVER (PARTITION BY country) AS size FROM customers"""
 
+# One cluster for each country, numbered by size, then by the label's index: most
+# frequent first, ties by name.
+NUMBERED = """
+countries AS (
+  SELECT country, CAST(row_number() OVER (ORDER BY count(*) DESC, country) - 1 AS INTEGER) AS cluster
+  FROM customers {where} GROUP BY country)"""
+LABELLED_BY_COUNTRY = """
+labelled AS (SELECT customers.*, cluster, 0 AS country_index, 0 AS gender_index FROM customers JOIN countries USING (country))"""
+BY_COUNTRY_TABLE = (CUSTOMERS, NUMBERED.format(where=""), LABELLED_BY_COUNTRY)
+REPORT = """SELECT cluster, segment_name, size, share_percent, {means}, pct_credit_card * 100 AS credit_card_percent,
+       pct_active * 100 AS active_percent
+FROM named ORDER BY cluster"""
+PROFILE_AVERAGES = ("avg_credit_score", "avg_age", "avg_tenure", "avg_balance", "avg_products", "avg_salary")
+# Pairs of customers that two labellings put together or apart alike.
+AGREEMENT = """
+paired AS (SELECT cluster AS a, CAST(customer_id % 4 AS INTEGER) AS b, count(*) AS n FROM labelled GROUP BY ALL),
+agreed AS (
+  SELECT (SELECT sum(n) FROM paired) AS n,
+         (SELECT sum(n * (n - 1) / 2) FROM paired) AS in_both,
+         (SELECT sum(n * (n - 1) / 2) FROM (SELECT sum(n) AS n FROM paired GROUP BY a)) AS one,
+         (SELECT sum(n * (n - 1) / 2) FROM (SELECT sum(n) AS n FROM paired GROUP BY b)) AS two)"""
+GRID = """
+bounds AS (SELECT min(balance) AS least, (max(balance) - min(balance)) / 20 AS width FROM labelled),
+gridded AS (
+  SELECT CAST(least(floor((balance - least) / width), 19) AS INTEGER) AS x_bin, products_number AS y, cluster,
+         count(*) AS n
+  FROM labelled CROSS JOIN bounds GROUP BY ALL)"""
+
 ORACLES: dict[str, str] = {
+    "sink_by_segment": _with(*LABELLED_TABLE) + f"SELECT {LABELLED_COLUMNS} FROM labelled WHERE cluster = {K - 1}",
+    "rejected_counts": _with(CUSTOMERS)
+    + """SELECT CASE WHEN customer_id % 19 = 0 THEN 'age is no int' WHEN customer_id % 23 = 0 THEN 'too few fields'
+            ELSE 'too many fields' END AS reason, count(*) AS n
+FROM customers WHERE customer_id % 19 = 0 OR customer_id % 23 = 0 OR customer_id % 29 = 0 GROUP BY ALL""",
+    "accepted_lines": _with(CUSTOMERS)
+    + f"SELECT {COLUMNS} FROM customers WHERE customer_id % 19 != 0 AND customer_id % 23 != 0 AND customer_id % 29 != 0",
+    "final_by_country": _with(*BY_COUNTRY_TABLE) + f"SELECT {LABELLED_COLUMNS} FROM labelled",
+    "segmentation_by_country": _with(*BY_COUNTRY_TABLE, PROFILES, NAMED)
+    + REPORT.format(means=", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in PROFILE_AVERAGES)),
+    "scored_by_bundle": _with(CUSTOMERS, NUMBERED.format(where="WHERE customer_id % 2 = 0"))
+    + """SELECT customer_id, country, cluster, 'Standard Segment ' || cluster AS segment_name
+FROM customers JOIN countries USING (country)""",
+    "clustering_agreement": _with(*LABELLED_TABLE, AGREEMENT)
+    + """SELECT CAST(n AS BIGINT) AS n,
+       round((n * (n - 1) / 2 + 2 * in_both - one - two) / (n * (n - 1) / 2), 6) AS rand_index,
+       round((in_both - one * two / (n * (n - 1) / 2)) / ((one + two) / 2 - one * two / (n * (n - 1) / 2)), 6) + 0.0
+         AS adjusted_rand_index
+FROM agreed""",
+    "matched_labels": _with(CUSTOMERS) + "SELECT country, count(*) AS n FROM customers GROUP BY country",
+    "segment_grid": _with(*LABELLED_TABLE, GRID)
+    + """SELECT x_bin, round(least + x_bin * width, 6) AS x_from, round(least + (x_bin + 1) * width, 6) AS x_to,
+       y, cluster, n FROM gridded CROSS JOIN bounds""",
     "scan_csv": _with(CUSTOMERS) + f"SELECT {COLUMNS} FROM customers",
     "scan_csv_inferred": _with(CUSTOMERS)
     + "SELECT * REPLACE (CAST(customer_id AS INTEGER) AS customer_id) FROM customers",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
-from tessella.operators import clustering, evaluation, inspection, profiles, quality
+from tessella.operators import agreement, clustering, evaluation, inspection, profiles, quality
 from tessella.operators.features import (
     RAW,
     SCALED,
@@ -28,10 +28,12 @@ from tessella.operators.features import (
     wide_form,
 )
 from tessella.operators.layout import materialised, persisted
-from tessella.plans.segmentation import run_job
+from tessella.plans.bundle import load_bundle, save_bundle
+from tessella.plans.segmentation import run_job, segment_customers
 from tessella.session import scratch_path
-from tessella.sinks.tables import write_csv, write_parquet
-from tessella.sources.customers import read_customers_csv, read_customers_parquet
+from tessella.sinks.releases import read_released
+from tessella.sinks.tables import write_by_label, write_csv, write_parquet
+from tessella.sources.customers import CheckedFiles, read_customers_checked, read_customers_csv, read_customers_parquet
 from tessella.sources.order_history import bank_customers, dirty_customers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -316,6 +318,48 @@ def sink_clustered_csv(spark, folder):
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
+def sink_by_segment(spark, folder):
+    """Written by cluster, in files of 100 rows at most; one segment is read back."""
+    path = scratch_path(spark, "customers_by_segment")
+    df = labelled(spark, folder)
+    sizes = {r["cluster"]: r["size"] for r in evaluation.cluster_sizes(df).collect()}
+    table = profiles.clustered_customers(df)
+    write_by_label(table, path, "cluster", sizes, rows_per_file=100)
+    return spark.read.schema(table.schema).parquet(path).filter(F.col("cluster") == K - 1)
+
+
+# Malformed lines: every 19th customer has no number for an age, others of every 23rd
+# lack the last field, others of every 29th have one too many.
+
+
+def broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    customers = bank_customers(spark, folder)
+    id_is = lambda n: F.col(ID) % n == 0
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in customers.columns]
+    age = customers.columns.index("age")
+    bad_age = [*fields[:age], F.lit("x"), *fields[age + 1 :]]
+    line = (
+        F.when(id_is(19), F.concat_ws(",", *bad_age))
+        .when(id_is(23), F.concat_ws(",", *fields[:-1]))
+        .when(id_is(29), F.concat_ws(",", *fields, F.lit("more")))
+    )
+    return customers.select(F.coalesce(line, F.concat_ws(",", *fields)).alias("value"))
+
+
+def checked(spark: SparkSession, folder: str) -> CheckedFiles:
+    path = scratch_path(spark, "broken_csv")
+    broken_lines(spark, folder).write.text(path)
+    return read_customers_checked(spark, path, header=False)
+
+
+def rejected_counts(spark, folder):
+    return checked(spark, folder).counts()
+
+
+def accepted_lines(spark, folder):
+    return checked(spark, folder).customers
+
+
 # NULLs through the chain: customers without a feature are left out, and counted --
 
 
@@ -372,6 +416,52 @@ def compare_by_country(spark, folder):
     return rounded(compared, "kmeans", "bisecting_kmeans", "delta")
 
 
+# The same fixture through the whole job; clusters are numbered by size, then centre.
+JOB_BY_COUNTRY = replace(BY_COUNTRY, described=CONFIG.numeric, carried=("gender",))
+
+
+def final_by_country(spark, folder):
+    """The labelled customers of the final model, all columns."""
+    result = segment_customers(bank_customers(spark, folder), JOB_BY_COUNTRY, k=COUNTRIES)
+    return profiles.clustered_customers(result.labelled, JOB_BY_COUNTRY)
+
+
+def segmentation_by_country(spark, folder):
+    """The whole job from CSV files: sweep, best k, saved tables, report."""
+    source, target = scratch_path(spark, "customers_csv"), scratch_path(spark, "segments")
+    write_csv(bank_customers(spark, folder), source)
+    with run_job(spark, source, target, JOB_BY_COUNTRY):
+        report = read_released(spark, target, "report_report")
+    return rounded(report, *[c for c in report.columns if c.startswith("avg_")])
+
+
+def scored_by_bundle(spark, folder):
+    """Fitted on the customers with an even id, saved, loaded and applied to all."""
+    customers = bank_customers(spark, folder)
+    path = scratch_path(spark, "bundle")
+    save_bundle(segment_customers(customers.filter(F.col(ID) % 2 == 0), BY_COUNTRY, k=COUNTRIES), path)
+    return load_bundle(spark, path).apply(customers).select(ID, "country", "cluster", "segment_name")
+
+
+def clustering_agreement(spark, folder):
+    """Rand index of two declared labellings, the nearest seed and the id modulo K."""
+    df = labelled(spark, folder).select("cluster", (F.col(ID) % K).cast("int").alias("by_id"))
+    result = agreement.adjusted_rand(agreement.contingency(df, "cluster", "by_id"))
+    return rounded(result, "rand_index", "adjusted_rand_index")
+
+
+def matched_labels(spark, folder):
+    """Clusters of the country fixture matched with the countries' names."""
+    with clustering.fit_table(bank_customers(spark, folder), BY_COUNTRY) as fit:
+        model = clustering.fit_kmeans(fit.table, COUNTRIES, BY_COUNTRY)
+    table = agreement.contingency(clustering.assign(fit.features, model), "country", "cluster")
+    return agreement.best_matching(table).select(F.col("a").alias("country"), "n")
+
+
+def segment_grid(spark, folder):
+    return rounded(profiles.segment_grid(labelled(spark, folder)), "x_from", "x_to")
+
+
 # Fitted models: no SQL says what they find, tests check what must hold --------
 
 
@@ -411,7 +501,8 @@ def segmentation_job(spark, folder):
     """The whole job: from CSV files to the four saved tables and the report."""
     source, target = scratch_path(spark, "customers_csv"), scratch_path(spark, "segments")
     write_csv(bank_customers(spark, folder), source)
-    return run_job(spark, source, target, CONFIG).report
+    with run_job(spark, source, target, CONFIG):
+        return read_released(spark, target, "report_report")
 
 
 QUERIES: dict[str, Query] = {
@@ -455,12 +546,21 @@ QUERIES: dict[str, Query] = {
     "sink_churn": sink_churn,
     "sink_clustered": sink_clustered,
     "sink_clustered_csv": sink_clustered_csv,
+    "sink_by_segment": sink_by_segment,
+    "rejected_counts": rejected_counts,
+    "accepted_lines": accepted_lines,
     "standardize_dirty": standardize_dirty,
     "left_out": left_out,
     "kmeans_by_country": kmeans_by_country,
     "bisecting_by_country": bisecting_by_country,
     "sweep_by_country": sweep_by_country,
     "compare_by_country": compare_by_country,
+    "final_by_country": final_by_country,
+    "segmentation_by_country": segmentation_by_country,
+    "scored_by_bundle": scored_by_bundle,
+    "clustering_agreement": clustering_agreement,
+    "matched_labels": matched_labels,
+    "segment_grid": segment_grid,
     "kmeans_fit": kmeans_fit,
     "kmeans_sweep": kmeans_sweep,
     "final_model": final_model,

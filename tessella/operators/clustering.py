@@ -13,7 +13,7 @@ from pyspark.mllib.clustering import KMeans as RddKMeans
 from pyspark.mllib.clustering import KMeansModel as KMeansCentres
 from pyspark.mllib.linalg import Vectors as OldVectors
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.config import SegmentationConfig
@@ -35,7 +35,8 @@ from tessella.operators.features import (
     uncentred,
 )
 from tessella.operators.inspection import summary_columns
-from tessella.operators.layout import checkpointed, observed, persisted, pin_layout
+from tessella.operators.journal import NO_JOURNAL, Journal, NoJournal
+from tessella.operators.layout import checkpointed, persisted, pin_layout
 from tessella.operators.quality import incomplete
 
 
@@ -53,6 +54,7 @@ class FitTable:
     summary: DataFrame
     model: PipelineModel
     table: DataFrame
+    journal: Journal | NoJournal = NO_JOURNAL
 
     @property
     def features(self) -> DataFrame:
@@ -60,16 +62,28 @@ class FitTable:
         return self.model.transform(self.customers)
 
 
+def customer_aggregates(df: DataFrame, config: SegmentationConfig, only: Column | None = None) -> dict[str, Column]:
+    """What the write of the customers counts on its way, of the rows where ``only`` holds."""
+    schema = df.select(*config.columns_of(df.columns)).schema
+    return summary_columns(schema, only) | {"_incomplete": incomplete(config.numeric, only)}
+
+
 @contextmanager
-def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
+def fit_table(
+    df: DataFrame,
+    config: SegmentationConfig,
+    journal: Journal | NoJournal = NO_JOURNAL,
+    summary: DataFrame | None = None,
+) -> Iterator[FitTable]:
     """Read ``df`` once and prepare it for any number of fits.
 
-    One shuffle, of ids and assembled vectors; all else is row-wise.
+    One shuffle, of ids and assembled vectors; all else is row-wise. With a ``summary`` of
+    its ``customer_aggregates`` ``df`` counts as written already and is used as it is.
     """
-    narrow = df.select(*config.columns_of(df.columns))
-    told = summary_columns(narrow.schema) | {"_incomplete": incomplete(config.numeric)}
-    customers, summary = observed(narrow, told, "customers")
-    model = fit_features(customers, config)
+    customers = df.select(*config.columns_of(df.columns))
+    if summary is None:
+        customers, summary = journal.observed("customers", customers, customer_aggregates(customers, config))
+    model = journal.model("features", PipelineModel, lambda: fit_features(customers, config))
     pinned = pin_layout(
         model.transform(customers).select(config.id_col, RAW),
         [F.col(config.id_col), vector_to_array(RAW)],
@@ -78,7 +92,12 @@ def fit_table(df: DataFrame, config: SegmentationConfig) -> Iterator[FitTable]:
     )
     raw = checkpointed(pinned)
     with persisted(raw):
-        yield FitTable(customers, summary, model, fitted_scaler(model).transform(raw))
+        yield FitTable(customers, summary, model, fitted_scaler(model).transform(raw), journal)
+
+
+def kept_kmeans(fit: FitTable, k: int, config: SegmentationConfig) -> KMeansModel:
+    """``fit_kmeans``, unless the journal has the model of an earlier run."""
+    return fit.journal.model(f"kmeans-{k}", KMeansModel, lambda: fit_kmeans(fit.table, k, config))
 
 
 def fit_kmeans(table: DataFrame, k: int, config: SegmentationConfig) -> KMeansModel:
@@ -136,10 +155,11 @@ def centres_table(df: DataFrame, model: KMeansModel, names: Sequence[str]) -> Da
 
 @dataclass(frozen=True)
 class Sweep:
-    """Models and scores by k, the scores also as a table, and cluster sizes."""
+    """Models, scores and cluster sizes by k, the last two also as tables."""
 
     models: Mapping[int, KMeansModel]
     score_of: Mapping[int, float | None]
+    size_of: Mapping[int, dict[int, int]]
     scores: DataFrame
     sizes: DataFrame
 
@@ -157,7 +177,7 @@ def sweep(fit: FitTable, config: SegmentationConfig) -> Sweep:
     spark = fit.table.sparkSession
     # The largest k takes longest, so it starts first.
     ks = list(reversed(config.ks))
-    fitted = run_side_by_side(spark, lambda k: fit_kmeans(fit.table, k, config), ks, config.parallelism)
+    fitted = run_side_by_side(spark, lambda k: kept_kmeans(fit, k, config), ks, config.parallelism)
     models = dict(sorted(zip(ks, fitted)))
     labels, labelled = label_names(config.ks), fit.table
     for k, model in models.items():
@@ -166,6 +186,7 @@ def sweep(fit: FitTable, config: SegmentationConfig) -> Sweep:
     return Sweep(
         models=models,
         score_of=scores,
+        size_of=sizes,
         scores=spark.createDataFrame(list(scores.items()), SCORES),
         sizes=sizes_table(spark, sizes),
     )
@@ -175,7 +196,9 @@ def compare_algorithms(
     fit: FitTable, kmeans_score: float | None, k: int, config: SegmentationConfig
 ) -> DataFrame:
     """K-Means, whose silhouette is known, against Bisecting K-Means for the same k."""
-    bisecting = fit_bisecting(fit.table, fit.model, k, config)
+    bisecting = fit.journal.model(
+        f"bisecting-{k}", BisectingKMeansModel, lambda: fit_bisecting(fit.table, fit.model, k, config)
+    )
     labelled = assign_bisecting(fit.table, fit.model, bisecting)
     scores = [
         ("kmeans", kmeans_score),

@@ -45,7 +45,7 @@ def strings(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _moments(c: str) -> Column:
+def _moments(c: str | Column) -> Column:
     return F.struct(
         F.count(c).alias("count"),
         F.mean(c).alias("mean"),
@@ -55,16 +55,18 @@ def _moments(c: str) -> Column:
     )
 
 
-def _range(c: str) -> Column:
+def _range(c: str | Column) -> Column:
     return F.struct(F.count(c).alias("count"), F.min(c).alias("min"), F.max(c).alias("max"))
 
 
-def summary_columns(schema: T.StructType) -> dict[str, Column]:
+def summary_columns(schema: T.StructType, only: Column | None = None) -> dict[str, Column]:
     """Aggregates that say all about a table that ``schema_table``, ``numeric_table``,
-    ``string_table`` and ``quality.missing_table`` show, by name."""
-    known = {c: _moments(c) for c in numbers(schema)} | {c: _range(c) for c in strings(schema)}
-    plain = {c: F.struct(F.count(c).alias("count")) for c in schema.names}
-    return {"_rows": F.count("*"), **(plain | known)}
+    ``string_table`` and ``quality.missing_table`` show, by name; of the rows where ``only``
+    holds, if it is given."""
+    at = lambda c: F.col(c) if only is None else F.when(only, F.col(c))
+    known = {c: _moments(at(c)) for c in numbers(schema)} | {c: _range(at(c)) for c in strings(schema)}
+    plain = {c: F.struct(F.count(at(c)).alias("count")) for c in schema.names}
+    return {"_rows": F.count("*") if only is None else F.count_if(only), **(plain | known)}
 
 
 def schema_table(rows: DataFrame, schema: T.StructType) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.operators.layout import observed
+from tessella.session import scratch_path
 
 # Low bits of monotonically_increasing_id: the row's place in its partition.
 PLACE_BITS = (1 << 33) - 1
@@ -77,7 +78,7 @@ def rank_labels(df: DataFrame, columns: list[str]) -> Ranked:
     own = {c: F.col("category") == c for c in columns}
     told = {f"{c}_labels": F.count_if(own[c]) for c in columns}
     told |= {f"{c}_rows": F.coalesce(F.sum(F.when(own[c], F.col("count"))), F.lit(0)) for c in columns}
-    table, summary = observed(placed, told, "labels")
+    table, summary = observed(placed, told, scratch_path(df.sparkSession, "labels"))
     row = summary.first()
     return Ranked(
         table, {c: float(row[f"{c}_labels"]) for c in columns}, {c: row[f"{c}_rows"] for c in columns}

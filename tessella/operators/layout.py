@@ -35,14 +35,17 @@ def materialised(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def observed(df: DataFrame, aggregates: Mapping[str, Column], name: str = "table") -> tuple[DataFrame, DataFrame]:
-    """``materialised(df)`` and one row of aggregates over it, which are added up by the
-    tasks that write it: they cost no further scan. The row is held as it is."""
+def observed(df: DataFrame, aggregates: Mapping[str, Column], path: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` as a Parquet table at ``path``, read back, and one row of aggregates over it.
+
+    The tasks that write the table add the aggregates up: they cost no further scan. The
+    row is held as it is."""
     spark, told = df.sparkSession, Observation()
     columns = [c.alias(alias) for alias, c in aggregates.items()]
-    table = materialised(df.observe(told, *columns), name)
-    row = told.get
-    return table, spark.createDataFrame([tuple(row[alias] for alias in aggregates)], df.agg(*columns).schema)
+    df.observe(told, *columns).write.mode("overwrite").parquet(path)
+    row, schema = told.get, df.agg(*columns).schema
+    summary = spark.createDataFrame([tuple(row[alias] for alias in aggregates)], schema)
+    return spark.read.schema(df.schema).parquet(path), summary
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -35,10 +35,10 @@ def missing_columns(df: DataFrame) -> DataFrame:
     return missing_values(df).filter("missing > 0")
 
 
-def incomplete(numeric: Sequence[str]) -> Column:
-    """How many rows have a NULL or NaN in a numeric feature."""
+def incomplete(numeric: Sequence[str], only: Column | None = None) -> Column:
+    """How many rows (where ``only`` holds) have a NULL or NaN in a numeric feature."""
     bad = reduce(lambda a, b: a | b, [F.isnull(c) | F.isnan(F.col(c).cast("double")) for c in numeric], F.lit(False))
-    return F.count_if(bad)
+    return F.count_if(bad if only is None else bad & only)
 
 
 def left_out(df: DataFrame, numeric: Sequence[str]) -> DataFrame:

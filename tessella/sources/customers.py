@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella.operators.layout import materialised
+
 CUSTOMER_SCHEMA = T.StructType(
     [
         T.StructField("customer_id", T.LongType()),
@@ -40,5 +46,56 @@ def read_customers_csv(
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
+@dataclass(frozen=True)
+class CheckedFiles:
+    """Customers of well-formed lines, and the lines that are not, with a reason each."""
+
+    customers: DataFrame
+    rejected: DataFrame
+
+    def counts(self) -> DataFrame:
+        """``(reason, n)`` of the rejected lines."""
+        return self.rejected.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+LINE = "_rejected_line"
+EMPTY = "\u0000"  # stands for an empty field, which is there, unlike one that is missing
+
+
+def read_customers_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = CUSTOMER_SCHEMA,
+    header: bool = True,
+    store: Callable[[DataFrame], DataFrame] = materialised,
+) -> CheckedFiles:
+    """Customers from CSV, malformed lines kept apart from them.
+
+    A line is malformed if it has too few or too many fields or a field that its column
+    can't hold; an empty field is a NULL of a well-formed line. The text is parsed once,
+    into a Parquet table that both results read; ``store`` writes it, with the whole line
+    of a malformed one in the column ``LINE``.
+    """
+    kept = T.StructType([*schema.fields, T.StructField(LINE, T.StringType())])
+    reader = spark.read.option("header", header).option("enforceSchema", not header)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE)
+    table = store(reader.schema(kept).csv(path))
+    bad = table.filter(F.col(LINE).isNotNull()).select(F.col(LINE).alias("line"))
+    return CheckedFiles(table.filter(F.col(LINE).isNull()).drop(LINE), bad.withColumn("reason", reason_of("line", schema)))
+
+
+def reason_of(line: str, schema: T.StructType) -> Column:
+    """Why a line doesn't fit: its number of fields, else the first field of another type."""
+    names = [f"f{i}" for i in range(len(schema) + 1)]
+    texts = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"nullValue": EMPTY, "emptyValue": EMPTY})
+    there = sum((texts[n].isNotNull().cast("int") for n in names), F.lit(0))
+    reason = F.when(there < len(schema), "too few fields").when(there > len(schema), "too many fields")
+    for name, field in zip(names, schema.fields):
+        text, kind = texts[name], field.dataType.simpleString()
+        wrong = (text != EMPTY) & (text != "") & text.try_cast(field.dataType).isNull()
+        reason = reason.when(wrong, f"{field.name} is no {kind}")
+    return reason.otherwise("malformed")
+
+
 def read_customers_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

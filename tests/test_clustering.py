@@ -279,13 +279,18 @@ def test_a_given_k_is_fitted_alone(customers):
 
 def test_the_command(spark, customers, tmp_path):
     from tessella.__main__ import main
+    from tessella.score import main as score_main
+    from tessella.sinks.releases import read_released
     from tessella.sinks.tables import write_csv
 
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     write_csv(customers, source)
     main([source, target, "--k", "3", "--invalid", "skip"])
-    read = spark.read.option("header", True)
-    assert read.csv(f"{target}/clustered_customers").count() == 1500
-    assert read.csv(f"{target}/cluster_profiles").count() == 3
-    assert spark.read.parquet(f"{target}/report/left_out").first()["left_out"] == 0
-    assert spark.read.parquet(f"{target}/report/report").count() == 3
+    assert read_released(spark, target, "clustered_customers").count() == 1500
+    assert read_released(spark, target, "cluster_profiles").count() == 3
+    assert read_released(spark, target, "report_left_out").first()["left_out"] == 0
+    assert read_released(spark, target, "report_report").count() == 3
+    score_main([f"{target}/bundle", source, str(tmp_path / "scored"), "--labelled-as", "parquet"])
+    scored = spark.read.parquet(str(tmp_path / "scored")).select("customer_id", "cluster")
+    labelled = read_released(spark, target, "clustered_customers").select("customer_id", "cluster")
+    assert scored.exceptAll(labelled).count() == 0 == labelled.exceptAll(scored).count()
