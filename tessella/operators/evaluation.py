@@ -62,24 +62,25 @@ def silhouettes(
     width = len(next(iter(next(iter(scored.values())).values()))[1])
     points = df.select(*[labels[k] for k in scored], point.alias("_point"), square.alias("_square"))
     # Plain columns and literals, which generated code adds up; each distance is one column.
-    points = points.select("*", *[F.get("_point", F.lit(i)).alias(f"_x{i}") for i in range(width)])
+    # As SQL text: a thousand Column objects would take longer to make than to compute.
+    points = points.selectExpr("*", *[f"get(_point, {i}) AS _x{i}" for i in range(width)])
 
-    def mean_distance(n: int, total: list[float], squares: float) -> Column:
-        inner = reduce(lambda a, b: a + b, [F.col(f"_x{i}") * (2.0 * t / n) for i, t in enumerate(total)])
-        return F.col("_square") + squares / n - inner
+    def mean_distance(n: int, total: list[float], squares: float) -> str:
+        inner = " + ".join(f"_x{i} * {2 * t / n!r}D" for i, t in enumerate(total))
+        return f"_square + {squares / n!r}D - ({inner})"
 
-    far = {f"_{k}_{c}": mean_distance(*part) for k, found in scored.items() for c, part in found.items()}
-    points = points.select(*[labels[k] for k in scored], *[d.alias(name) for name, d in far.items()])
+    far = [f"{mean_distance(*part)} AS _{k}_{c}" for k, found in scored.items() for c, part in found.items()]
+    points = points.selectExpr(*[f"`{labels[k]}` AS _{k}" for k in scored], *far)
 
-    def score(k: int) -> Column:
-        label, names = F.col(labels[k]), {c: F.col(f"_{k}_{c}") for c in scored[k]}
-        own = F.coalesce(*[F.when(label == c, d * (n / (n - 1) if n > 1 else 0.0)) for (c, d), n in zip(names.items(), sizes[k].values())])
-        others = [F.when(label != c, d) for c, d in names.items()]
-        other = F.least(*others) if len(others) > 1 else others[0]
-        alone = label.isin([c for c, n in sizes[k].items() if n == 1])
-        return F.when(alone | (own == other), 0.0).when(own < other, 1 - own / other).otherwise(other / own - 1)
+    def own_and_other(k: int) -> list[str]:
+        """Mean distance to the own cluster, NULL where that is the row alone, and to the nearest other."""
+        own = " ".join(f"WHEN {c} THEN _{k}_{c} * {n / (n - 1)!r}D" for c, n in sizes[k].items() if n > 1)
+        others = ", ".join(f"IF(_{k} = {c}, NULL, _{k}_{c})" for c in sizes[k])
+        return [f"CASE _{k} {own or 'WHEN NULL THEN 0D'} END AS _own_{k}", f"least({others}) AS _other_{k}"]
 
-    row = points.agg(*[F.avg(score(k)).alias(f"s{k}") for k in scored]).first()
+    points = points.selectExpr(*[part for k in scored for part in own_and_other(k)])
+    mean = "avg(CASE WHEN {own} IS NULL OR {own} = {other} THEN 0 WHEN {own} < {other} THEN 1 - {own} / {other} ELSE {other} / {own} - 1 END) AS s{k}"
+    row = points.selectExpr(*[mean.format(own=f"_own_{k}", other=f"_other_{k}", k=k) for k in scored]).first()
     return {k: row[f"s{k}"] if k in scored else None for k in labels}, sizes
 
 

@@ -6,9 +6,12 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from math import ceil
 
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessella.session import scratch_path, shared_dir
 
@@ -43,9 +46,14 @@ def observed(df: DataFrame, aggregates: Mapping[str, Column], path: str) -> tupl
     spark, told = df.sparkSession, Observation()
     columns = [c.alias(alias) for alias, c in aggregates.items()]
     df.observe(told, *columns).write.mode("overwrite").parquet(path)
-    row, schema = told.get, df.agg(*columns).schema
-    summary = spark.createDataFrame([tuple(row[alias] for alias in aggregates)], schema)
-    return spark.read.schema(df.schema).parquet(path), summary
+    row = told.get
+    plain = {alias: v.asDict() if isinstance(v := row[alias], Row) else v for alias in aggregates}
+    return spark.read.schema(df.schema).parquet(path), held(spark, [plain], df.agg(*columns).schema)
+
+
+def held(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few rows as part of the plan: reading them takes no job."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -60,7 +68,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def gathered(df: DataFrame) -> DataFrame:
     """A table of one row per cluster or so, computed once and held as is."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
 def pin_layout(

@@ -59,7 +59,7 @@ class CheckedFiles:
 
 
 LINE = "_rejected_line"
-EMPTY = "\u0000"  # stands for an empty field, which is there, unlike one that is missing
+QUOTED = r'"([^"\\]|\\.)*"'  # a quoted field, whose separators don't count
 
 
 def read_customers_checked(
@@ -86,14 +86,14 @@ def read_customers_checked(
 
 def reason_of(line: str, schema: T.StructType) -> Column:
     """Why a line doesn't fit: its number of fields, else the first field of another type."""
-    names = [f"f{i}" for i in range(len(schema) + 1)]
-    texts = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"nullValue": EMPTY, "emptyValue": EMPTY})
-    there = sum((texts[n].isNotNull().cast("int") for n in names), F.lit(0))
-    reason = F.when(there < len(schema), "too few fields").when(there > len(schema), "too many fields")
+    bare = F.regexp_replace(line, QUOTED, "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    reason = F.when(fields < len(schema), "too few fields").when(fields > len(schema), "too many fields")
+    names = [f"f{i}" for i in range(len(schema))]
+    texts = F.from_csv(line, ", ".join(f"{n} string" for n in names))
     for name, field in zip(names, schema.fields):
-        text, kind = texts[name], field.dataType.simpleString()
-        wrong = (text != EMPTY) & (text != "") & text.try_cast(field.dataType).isNull()
-        reason = reason.when(wrong, f"{field.name} is no {kind}")
+        wrong = texts[name].isNotNull() & texts[name].try_cast(field.dataType).isNull()
+        reason = reason.when(wrong, f"{field.name} is no {field.dataType.simpleString()}")
     return reason.otherwise("malformed")
 
 

@@ -109,7 +109,13 @@ def test_the_report_reads_the_customers_for_the_head_alone(customers):
 # Jobs ---------------------------------------------------------------------------------
 
 
-def test_encoding_takes_five_jobs(spark, customers):
+def write_to(df, folder):
+    df.write.parquet(f"{folder}/table")
+    return f"{folder}/table"
+
+
+def test_encoding_takes_five_jobs(spark, customers, tmp_path):
+    customers = spark.read.parquet(write_to(customers, tmp_path))
     with jobs(spark, "labels") as found:
         ranked = rank_labels(customers, ["country", "gender"])
         hot = ranked.hot()
@@ -117,7 +123,7 @@ def test_encoding_takes_five_jobs(spark, customers):
     assert len(hot["country"]) == 5 == ranked.n_labels["country"]
     # Every label is looked up in the row, so no join is planned.
     plan = fit_features(customers, SMALL).transform(customers)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan.replace("InMemoryRelation", "")[: plan.find("InMemoryRelation")]
+    assert "Join" not in plan
 
 
 def test_scores_of_a_sweep_take_two_passes(spark, customers):
@@ -182,7 +188,7 @@ def test_half_a_bundle_is_none(spark, saved, tmp_path, monkeypatch):
     monkeypatch.undo()
     with pytest.raises(ValueError, match="version 2"):
         load_bundle(spark, folder)
-    monkeypatch.setattr("tessella.plans.bundle.json.dumps", lambda _: 1 / 0)
+    monkeypatch.setattr("tessella.plans.bundle.asdict", lambda _: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         save_bundle(saved[1], folder)
     with pytest.raises(ValueError, match="no whole bundle"):
@@ -195,7 +201,7 @@ def test_half_a_bundle_is_none(spark, saved, tmp_path, monkeypatch):
 def test_malformed_lines_are_told_from_nulls(spark, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text(
-        "id,name,age\n1,a,5\n2,,\n3,\"x, y\",6\n4,b,old\n5,c\n6,d,7,8\nseven,e,9\n8,\"q\"\"r\",\n9,,,\n,,\n"
+        "id,name,age\n1,a,5\n2,,\n3,\"x, y\",6\n4,b,old\n5,c\n6,d,7,8\nseven,e,9\n8,\"q\\\"r\",\n9,,,\n,,\n"
     )
     schema = spark.createDataFrame([], "id long, name string, age int").schema
     files = read_customers_checked(spark, str(path), schema)
@@ -297,7 +303,7 @@ def test_a_release_that_fails_leaves_the_old_one(spark, tmp_path):
     assert [e["number"] for e in log_of(spark, folder)] == [0, 1]
     assert prune(spark, folder) == 1
     assert read_released(spark, folder, "t0").count() == 7
-    assert sum(f.startswith("release-0-") and os.path.isdir(f"{folder}/{f}/t0") for f in os.listdir(folder)) == 1  # the failed one
+    assert sum(f.startswith("release-1-") for f in os.listdir(folder)) == 2  # one of them the failed one
 
 
 def test_a_failed_job_takes_up_its_fits(spark, customers, tmp_path, monkeypatch):
