@@ -32,8 +32,12 @@ PATTERNS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Identifier-like tokens.
-TOKEN = r"(?<![A-Za-z0-9_@.%+-])[A-Za-z_.%+-]*+[0-9@][A-Za-z0-9_@.%+-]*+"
+# Identifier-like tokens: runs of digit groups joined by single spaces, dashes, dots or
+# parentheses, or one word that holds a digit or @.
+TOKEN = (
+    r"(?<![A-Za-z0-9_@.%+-])(?:\+?\(?[0-9]++(?:(?:[\x20.-]|\x20?[()]\x20?)[0-9]++)++(?![A-Za-z0-9_@%+])"
+    r"|[A-Za-z_.%+-]*+[0-9@][A-Za-z0-9_@.%+-]*+)"
+)
 # Lengths that are added up at once: sums of places stay linear in the matches.
 RUN = 256
 
@@ -42,7 +46,6 @@ RUN = 256
 class BootstrapSettings:
     confidence: float = 0.9  # of a pattern that may name new identifiers
     seeds: int = 5  # different known instances such a pattern needs, found ones included
-    context: int = 40  # characters of a context word, at most
 
 
 SETTINGS = BootstrapSettings()
@@ -136,15 +139,15 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in KINDS])
 
 
-def tokens(text: Column, settings: BootstrapSettings) -> Column:
-    """Array of (token, start, end, left, right): identifier-like tokens and the words
+def tokens(text: Column) -> Column:
+    """Array of (token, start, end, left, right): identifier-like tokens and the whole words
     next to them, "" where there is none with a letter."""
-    word = lambda x: F.lower(F.regexp_extract(x, r"([^\s]*\p{L}[^\s]*)", 1))
+    word = lambda x: F.when(x.rlike(r"\p{L}"), F.lower(x)).otherwise("")
 
     def of(m):
         token = F.rtrim(m["match"], F.lit(".-%+"))
-        left = F.regexp_extract(F.right(m["before"], F.lit(settings.context)), r"(?:^|\s)(\S+)\s*$", 1)
-        right = F.regexp_extract(F.left(m["after"], F.lit(settings.context)), r"^\s*(\S+)", 1)
+        left = F.regexp_extract(m["before"], r"(?:^|\s)(\S++)\s*+$", 1)
+        right = F.regexp_extract(m["after"], r"^\s*+(\S++)", 1)
         return F.struct(
             F.lower(token).alias("token"), m["start"].alias("start"), (m["start"] + F.length(token)).alias("end"),
             word(left).alias("left"), word(right).alias("right"),
@@ -155,11 +158,11 @@ def tokens(text: Column, settings: BootstrapSettings) -> Column:
     return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(none))
 
 
-def scanned(docs: DataFrame, settings: BootstrapSettings) -> DataFrame:
-    """row, doc_id, base, tokens of every text, each token with the kind of the base
+def scanned(docs: DataFrame) -> DataFrame:
+    """row, doc_id, text_key, base, tokens of every text, each token with the kind of the base
     span it lies in. Written, so that the texts are read once."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", base_spans(text).alias("base"), tokens(text, settings).alias("found"))
+    rows = docs.select("doc_id", F.md5(text).alias("text_key"), base_spans(text).alias("base"), tokens(text).alias("found"))
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scanned")
 
     def within(t):
@@ -167,18 +170,18 @@ def scanned(docs: DataFrame, settings: BootstrapSettings) -> DataFrame:
 
     # get() is null beyond the end: a token outside all base spans has no kind.
     marked = F.transform("found", lambda t: F.struct(t.alias("t"), F.get(within(t), F.lit(0))["kind"].alias("kind")))
-    return rows.select("row", "doc_id", "base", marked.alias("tokens"))
+    return rows.select("row", "doc_id", "text_key", "base", marked.alias("tokens"))
 
 
 def discovered(rows: DataFrame, settings: BootstrapSettings) -> DataFrame:
-    """row, doc_id, kind, start, end of the spans that the patterns add.
+    """row, doc_id, text_key, kind, start, end of the spans that the patterns add.
 
     Instances of a pattern are counted once each, however often a token occurs, and
     before anything is joined; only tokens outside base spans are ever joined with
     patterns.
     """
-    seen = rows.select("row", "doc_id", F.explode("tokens").alias("x")).select(
-        "row", "doc_id", "x.kind", "x.t.token", "x.t.start", "x.t.end", "x.t.left", "x.t.right"
+    seen = rows.select("row", "doc_id", "text_key", F.explode("tokens").alias("x")).select(
+        "row", "doc_id", "text_key", "x.kind", "x.t.token", "x.t.start", "x.t.end", "x.t.left", "x.t.right"
     )
     sides = F.filter(
         F.array(
@@ -209,7 +212,7 @@ def discovered(rows: DataFrame, settings: BootstrapSettings) -> DataFrame:
         if new.isEmpty():
             break
         named = written(named.union(new), "named")
-    return seen.where("kind IS NULL").drop("kind").join(named, "token").select("row", "doc_id", "kind", "start", "end")
+    return seen.where("kind IS NULL").drop("kind").join(named, "token").select("row", "doc_id", "text_key", "kind", "start", "end")
 
 
 def found_spans(docs: DataFrame, settings: BootstrapSettings = SETTINGS) -> DataFrame:
@@ -219,7 +222,7 @@ def found_spans(docs: DataFrame, settings: BootstrapSettings = SETTINGS) -> Data
     then start. A null or empty text has none. One row per input row, repeated rows
     included. Only doc_id and text are read.
     """
-    rows = scanned(docs, settings)
+    rows = scanned(docs)
     span = F.struct("kind", "start", "end")
     more = discovered(rows, settings).groupBy("row").agg(F.collect_set(span).alias("more"))
     # All spans of a kind in order of their start.
@@ -260,29 +263,37 @@ def redacted(docs: DataFrame, settings: BootstrapSettings = SETTINGS) -> DataFra
     """All columns of ``docs``; spans in ``text`` become [EMAIL], [IP], [CARD], [PHONE].
 
     What the patterns add is put in first (by place), then each kind's own matches. A
-    null text stays null. ``n_chars``, where there is such a column, follows the text.
+    null text stays null. ``n_chars``, where there is such a column, follows the text. Rows
+    are told apart by id and text, so rows without id and rows that repeat one get their own
+    spans. Other columns, of any name, are handed on.
     """
-    rows = scanned(docs, settings)
+    rows = scanned(docs)
     span = F.struct("start", "end", "kind")
-    more = discovered(rows, settings).groupBy(F.col("doc_id").alias("pii_doc")).agg(F.array_sort(F.collect_set(span)).alias("pii_more"))
-    text = F.col("text")
+    more = discovered(rows, settings).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(span)).alias("more"))
+    more = more.select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text"), "more")
+    # The row goes along as one value, so that none of its columns clashes.
+    whole = docs.select(F.struct("*").alias("doc"), F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text"))
+    old = F.col("doc.text")
 
     def step(state, s):
         # Places are those of the old text; spans of one text that overlap count once.
         fresh = s["start"] >= state["at"]
-        part = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        part = F.substring(old, state["at"] + 1, s["start"] - state["at"])
         return F.struct(
             F.when(fresh, F.concat(state["out"], part, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(state["out"]).alias("out"),
             F.when(fresh, s["end"]).otherwise(state["at"]).alias("at"),
         )
 
     def rest(state):
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+        return F.concat(state["out"], F.substring(old, state["at"] + 1, F.length(old)))
 
-    named = F.aggregate("pii_more", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, rest)
-    changed = F.coalesce(named, text)
-    out = docs.join(more, docs["doc_id"] == F.col("pii_doc"), "left").withColumn("text", changed)
+    named = F.aggregate("more", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, rest)
+    out = whole.join(more, same, "left").select("doc", F.coalesce(named, old).alias("text"))
+    text = F.col("text")
     for kind in KINDS:
         out = out.withColumn("text", F.when(may_hold(kind, text), masked(text, kind)).otherwise(text))
-    out = out.select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

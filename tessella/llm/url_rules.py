@@ -8,6 +8,7 @@ inverted index from token to rule finds the ones a URL satisfies.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -66,29 +67,55 @@ def url_tokens(url: str = "url") -> Column:
     return F.filter(tokens, lambda x: ~x.rlike(r"^\w+:$"))
 
 
+def subsets(tokens: Column, most: int) -> Column:
+    """All sets of one to ``most`` tokens of a sorted array, sorted."""
+    places = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1)).otherwise(F.array().cast("array<int>"))
+    now = F.transform(places, lambda i: F.array(i))
+    found = now
+    for _ in range(most - 1):
+        after = lambda s: F.filter(places, lambda i: i > F.element_at(s, -1))
+        now = F.flatten(F.transform(now, lambda s: F.transform(after(s), lambda i: F.array_append(s, i))))
+        found = F.concat(found, now)
+    return F.transform(found, lambda s: F.transform(s, lambda i: tokens[i]))
+
+
 def mine(labelled: DataFrame, settings: MiningSettings = SETTINGS) -> DataFrame:
     """rule_id, tokens, verdict, confidence, support of the kept rules.
 
     ``labelled``: tokens array, verdict. A rule goes if one with fewer of its tokens
-    says the same at least as confidently. The number of rules is bounded by the
-    settings: each holds at least ``min_support`` of the labelled URLs, and a URL has
-    few combinations of up to ``max_tokens`` of its tokens.
+    says the same at least as confidently. FP-growth gets each set of up to ``max_tokens``
+    frequent tokens of a URL as a transaction of its own, marked with its size, so no
+    itemset is longer than such a set and its verdict: the work grows with the number of
+    these sets, m ** max_tokens for m frequent tokens of a URL, however many tokens URLs
+    have in common. Tokens that too few URLs have leave the sets before.
     """
-    verdict = F.concat(F.lit("="), F.col("verdict"))
-    items = labelled.select(F.array_append("tokens", verdict).alias("items"))
-    model = FPGrowth(minSupport=settings.min_support, minConfidence=settings.min_confidence).fit(items)
-    found = written(model.freqItemsets, "itemsets")
-    total = items.count()
-    is_verdict = lambda x: F.startswith(x, F.lit("="))
-    alone = found.where(~F.exists("items", is_verdict)).select(
-        F.array_sort("items").alias("tokens"), F.col("freq").alias("seen")
-    )
-    implied = found.where(F.exists("items", is_verdict) & (F.size("items").between(2, settings.max_tokens + 1)))
-    implied = implied.select(
-        F.array_sort(F.filter("items", lambda x: ~is_verdict(x))).alias("tokens"),
-        F.substring(F.filter("items", is_verdict)[0], 2, 100).alias("verdict"),
-        "freq",
+    rows = labelled.withColumn("url", F.monotonically_increasing_id())
+    rows = written(rows.select("url", F.array_distinct("tokens").alias("tokens"), "verdict"), "labelled")
+    total = rows.count()
+    least = max(1, math.ceil(settings.min_support * total))
+    each = rows.select("url", "verdict", F.explode("tokens").alias("token"))
+    frequent = each.groupBy("token").count().where(F.col("count") >= least).select("token")
+    kept = each.join(frequent, "token").groupBy("url", "verdict").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
+    sets = kept.select("verdict", F.explode(subsets(F.col("tokens"), settings.max_tokens)).alias("set"))
+    mark = F.concat(F.size("set").cast("string"), F.lit("|"))
+    verdict = F.concat(mark, F.lit("="), F.col("verdict"))
+    items = F.array_append(F.transform("set", lambda t: F.concat(mark, F.lit("t"), t)), verdict)
+    sets = written(sets.select(items.alias("items")), "token_sets")
+    # As many URLs as without the sets: a set of a size is one transaction of its URL.
+    support = min(1.0, (least - 0.5) / max(1, sets.count()))
+    found = FPGrowth(minSupport=support, minConfidence=settings.min_confidence).fit(sets).freqItemsets
+    # Whole sets only, with or without their verdict.
+    is_verdict = lambda x: x.rlike(r"^[0-9]+\|=")
+    token = lambda x: F.regexp_replace(x, r"^[0-9]+\|t", "")
+    size = F.regexp_extract(F.col("items")[0], r"^([0-9]+)\|", 1).cast("int")
+    found = found.select(
+        F.array_sort(F.transform(F.filter("items", lambda x: ~is_verdict(x)), token)).alias("tokens"),
+        F.regexp_replace(F.get(F.filter("items", is_verdict), F.lit(0)), r"^[0-9]+\|=", "").alias("verdict"),
+        "freq", size.alias("size"),
     )
+    found = written(found.where(F.size("tokens") == F.col("size")).drop("size"), "itemsets")
+    alone = found.where("verdict IS NULL").select("tokens", F.col("freq").alias("seen"))
+    implied = found.where("verdict IS NOT NULL")
     rules = implied.join(alone, "tokens").select(
         F.array_join("tokens", "\u0001").alias("rule_id"),
         "tokens",
@@ -143,8 +170,9 @@ def judge(pages: DataFrame, rules=RULES, settings: MiningSettings = SETTINGS) ->
     # The best rule by one aggregate: highest confidence, support, then smallest text.
     best = F.min_by(F.struct("said", "confidence"), F.struct(-F.col("confidence"), -F.col("support"), F.col("rule_id")))
     chosen = written(fitting.groupBy("pattern").agg(best.alias("best")), "chosen")
-    pattern = F.when(F.col("ruled").isNull(), key)
-    judged = rows.withColumn("pattern", pattern).join(chosen, "pattern", "left")
+    # Rows with a rule need no look-up and stay out of the join, where they had one key.
+    open_ = rows.where("ruled IS NULL").withColumn("pattern", key).join(chosen, "pattern", "left").drop("pattern")
+    judged = open_.unionByName(rows.where("ruled IS NOT NULL"), allowMissingColumns=True)
     return judged.select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", "best.said", F.lit(settings.default)).alias("verdict"),

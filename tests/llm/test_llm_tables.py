@@ -1,5 +1,10 @@
 """Graph search, URL rules and the pipeline."""
 
+import itertools
+import random
+import time
+from collections import Counter
+
 import numpy as np
 import pytest
 from conftest import TESTDATA
@@ -83,6 +88,44 @@ def test_mined_rules(spark):
     assert found == {("b", "block"): 1.0, ("c", "allow"): 1.0, ("d", "block"): 1.0}
 
 
+def brute_rules(rows, settings):
+    """All token sets of up to ``max_tokens``, counted one by one."""
+    seen, says = Counter(), Counter()
+    for tokens, decision in rows:
+        for n in range(1, settings.max_tokens + 1):
+            for s in itertools.combinations(sorted(set(tokens)), n):
+                seen[s] += 1
+                says[s, decision] += 1
+    least = settings.min_support * len(rows)
+    sure = {(s, d): c / seen[s] for (s, d), c in says.items() if c >= least and c / seen[s] >= settings.min_confidence}
+    return {
+        k: c for k, c in sure.items()
+        if not any(set(t) < set(k[0]) and d == k[1] and other >= c for (t, d), other in sure.items())
+    }
+
+
+def test_mined_rules_against_all_sets(spark):
+    rnd = random.Random(12)
+    rows = [([f"t{rnd.randint(0, 9)}|=" for _ in range(rnd.randint(0, 6))], rnd.choice(["block", "allow"])) for _ in range(150)]
+    rows += [(["x", "y", "z"], "block")] * 9 + [(["x", "y"], "allow")] * 7 + [(["y", "z"], "allow")] * 5 + [(["x", "z", "w"], "allow")] * 5
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    for settings in (url_rules.MiningSettings(min_support=0.03, min_confidence=0.6), url_rules.MiningSettings(0.02, 0.7, max_tokens=2)):
+        got = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in url_rules.mine(df, settings).collect()}
+        assert got == brute_rules(rows, settings) and got
+
+
+def test_urls_with_many_common_parameters_end(spark):
+    query = "&".join(f"q{i}=1" for i in range(30))
+    urls = [f"http://a{i}.net/x?{query}" for i in range(10)] + [f"http://b{i}.org/fr/y" for i in range(200)]
+    urls += ["http://c.com/?q1=2", "http://c.com/" + "a" * 100_000, "http://c.com/?" + "&".join(f"long{i}" for i in range(5000))]
+    df = spark.createDataFrame([*enumerate(urls), (0, urls[0])], "page_id long, url string")
+    start = time.perf_counter()
+    got = url_rules.judge(df).collect()
+    assert time.perf_counter() - start < 120
+    assert len(got) == len(urls) + 1
+    assert {r["verdict"] for r in got if r["page_id"] == 210} == {"block"}  # as all others with q1
+
+
 def test_no_pages_and_no_labels(spark):
     df = spark.createDataFrame([(1, "http://x.com/en/")], "page_id long, url string")
     assert url_rules.judge(df).first()["verdict"] == "allow"
