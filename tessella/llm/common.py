@@ -1,10 +1,12 @@
-"""What several operators share: bounded caches and shared-folder tables."""
+"""What several operators share: bounded caches, hashed words, thin-coded numbers and shared-folder tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,3 +45,40 @@ class BoundedCache(dict):
             self.clear()
         self[key] = value
         return value
+
+
+CACHE_ENTRIES = 800_000
+WORDS = BoundedCache(CACHE_ENTRIES)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """splitmix64."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(text: str) -> list[int]:
+    """64-bit hashes of the words: ASCII white space parts them, A-Z is lower-cased."""
+    cache, out = WORDS, []
+    for word in text.encode("utf-8", "replace").lower().split():
+        number = cache.get(word)
+        out.append(cache.put(word, xxhash.xxh3_64_intdigest(word)) if number is None else number)
+    return out
+
+
+def thin(values: np.ndarray) -> bytes:
+    """Non-negative numbers in as few bytes each as the largest needs: one byte for the
+    width, then the low bytes of all, the next bytes of all, and so on."""
+    values = np.ascontiguousarray(values, dtype=np.uint64)
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def thick(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view(np.uint64).ravel()

@@ -23,8 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import written
-from tessella.llm.lm_score import thick, thin
+from tessella.llm.common import thick, thin, written
 
 
 @dataclass(frozen=True)

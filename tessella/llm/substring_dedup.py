@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import BoundedCache, written
-from tessella.llm.lm_score import mixed
+from tessella.llm.common import BoundedCache, mixed, written
 
 
 @dataclass(frozen=True)

@@ -224,7 +224,7 @@ def backoff_scores(rows, order, alpha=0.4):
 def test_backoff(spark, documents, order):
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
     rows += [(90001, None), (90002, ""), (90003, "one"), (90004, "The The the")]
-    settings = lm_score.LmSettings(order=order, batch_words=9000, bucket_grams=20_000)
+    settings = lm_score.LmSettings(order=order, batch_words=9000)
     got = lm_score.scores(frame(spark, rows).repartition(5), settings).collect()
     want = backoff_scores(rows, order)
     assert len(got) == len(rows)
@@ -234,6 +234,17 @@ def test_backoff(spark, documents, order):
     assert lm_score.scores(frame(spark, rows).limit(0), settings).count() == 0
 
 
+def test_backoff_of_repeated_rows_null_ids_and_a_long_text(spark):
+    rnd = random.Random(5)
+    long = " ".join(f"w{rnd.randint(0, 60)}" for _ in range(60_000))
+    texts = ["a b c a b", "a b c a b", "a b d", "B C\x0bA", long, "\u00a0 a\u00a0b", "c a b", "c a b"]
+    ids = [1, 1, 1, 2, 3, 4, None, None]  # rows alike in id and text, one id with two texts, no id
+    got = lm_score.scores(frame(spark, list(zip(ids, texts))).repartition(3)).collect()
+    want = backoff_scores(list(enumerate(texts)), 3)
+    mine = sorted((str(r["doc_id"]), r["n_words"], round(r["log_score"], 5)) for r in got)
+    assert mine == sorted((str(ids[i]), n, round(score, 5)) for i, (n, score) in want.items())
+
+
 # Search -----------------------------------------------------------------------
 
 
