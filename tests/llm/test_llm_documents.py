@@ -251,7 +251,7 @@ def test_backoff_of_repeated_rows_null_ids_and_a_long_text(spark):
 @pytest.mark.parametrize("block", [4, 64])
 def test_search_is_exact(spark, documents, block):
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()] + [(900, None), (901, ""), (None, "the the")]
-    settings = replace(bm25_search.SETTINGS, query_terms=None, shard_docs=37, block=block)
+    settings = replace(bm25_search.SETTINGS, query_terms=None, shard_postings=5000, block=block, query_block=2000)
     df = frame(spark, rows)
     got = collections.defaultdict(list)
     for r in bm25_search.top_k(df, df.where("doc_id % 20 = 0"), 10, settings).orderBy("query_id", "rank").collect():
