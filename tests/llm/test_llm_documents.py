@@ -8,11 +8,13 @@ import random
 import re
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from tessella.llm import bm25_search, lm_score, mixing, near_dedup, pii, quality
+from tessella.llm.common import word_hashes
 
 SCHEMA = "doc_id long, text string, n long, component string"
 FOLDER = str(TESTDATA / "sf0.001")
@@ -271,6 +273,22 @@ def test_search_is_exact(spark, documents, block):
     assert bm25_search.top_k(df.limit(0), df.limit(0), 10, settings).count() == 0
 
 
+def test_search_skips_most_blocks(spark):
+    docs = spark.read.parquet(str(TESTDATA / "sf0.1" / "documents.parquet"))
+    index = bm25_search.build_index(docs)
+    df_of = dict(bm25_search.document_frequencies(index).toPandas().itertuples(index=False))
+    n, total = index.agg({"n_docs": "sum", "n_words": "sum"}).select("sum(n_docs)", "sum(n_words)").first()
+    row = next(index.orderBy(index["n_docs"].desc()).limit(1).toPandas().itertuples())
+    shard = bm25_search.Shard(row, total / n, bm25_search.SETTINGS)
+    for q in docs.where("doc_id % 200 = 0").collect():
+        terms = np.unique(np.array(word_hashes(q["text"]), np.uint64))
+        places = shard.find(terms)
+        df = np.array([df_of[x] for x in terms.view(np.int64).tolist()])
+        weights = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        shard.best(places[places >= 0], weights[places >= 0], q["doc_id"], 10)
+    assert shard.blocks > 100_000 and shard.scored < 0.5 * shard.blocks
+
+
 def test_search_uses_all_terms_as_registered(spark):
     # 15 rare words that each query shares with its twin come after 20 rarer ones shared with others.
     rows = [(0, " ".join([f"r{i}" for i in range(20)] + [f"t{i}" for i in range(15)]))]
