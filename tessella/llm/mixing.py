@@ -128,7 +128,8 @@ def plan(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     of its block. A null source counts as the source "", a null text as no tokens.
     Repeated rows each count, and are told apart by a number in their block. A source
     that holds most rows is spread over blocks of about ``block_docs`` documents, so no
-    task gets more. An empty table gives no rows.
+    task gets more. A block misses its budget by half a document at most, however long that
+    is. An empty table gives no rows.
     """
     source = F.coalesce("source", F.lit(""))
     counted = written(docs.select("doc_id", source.alias("source"), words().alias("n_tokens")), "counted")
@@ -153,7 +154,9 @@ def plan(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     )
     whole = F.floor("passes")
     rest = (F.col("passes") - whole) * F.col("held")
-    extra = F.when((F.col("spent") <= rest) & (F.col("passes") > whole), 1).otherwise(0)
+    # The document that crosses the block's rest counts when at least half of it lies inside.
+    inside = 2 * F.col("spent") - F.col("n_tokens") <= 2 * rest
+    extra = F.when(inside & (F.col("passes") > whole), 1).otherwise(0)
     return rows.select(
         "doc_id", "source", "n_tokens", "block", "place", (whole + extra).cast("long").alias("copies")
     )
@@ -162,6 +165,7 @@ def plan(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
 def mixed(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     """The documents of the mixture, all columns, each as often as planned."""
     copies = plan(docs, settings).groupBy("doc_id").agg(F.max("copies").alias("mix_copies"))
-    kept = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"])).where("mix_copies > 0")
+    whole = docs.select(F.struct(*docs.columns).alias("row"))  # so that no name can clash
+    kept = whole.join(copies, F.col("row.doc_id").eqNullSafe(F.col("doc_id"))).where("mix_copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
-    return kept.select(*[docs[c] for c in docs.columns], times.alias("mix_copy")).drop("mix_copy")
+    return kept.select("row", times.alias("mix_copy")).select("row.*")

@@ -40,7 +40,7 @@ placed AS (
          sum(n_tokens) OVER (PARTITION BY source, block) AS held
   FROM dealt WINDOW o AS (PARTITION BY source, block ORDER BY turn, doc_id, n_tokens))
 SELECT doc_id, source, n_tokens, block, place,
-       CAST(floor(passes) + CASE WHEN passes > floor(passes) AND spent <= (passes - floor(passes)) * held
+       CAST(floor(passes) + CASE WHEN passes > floor(passes) AND 2 * spent - n_tokens <= 2 * ((passes - floor(passes)) * held)
                                  THEN 1 ELSE 0 END AS BIGINT) AS copies
 FROM placed
 """

@@ -200,6 +200,30 @@ def test_mixing_by_repetition_cuts_nothing(spark):
     assert mixing.plan(df.limit(0), settings).count() == 0
 
 
+def test_mixing_blocks_miss_their_budget_by_half_a_document(spark):
+    rnd = random.Random(11)
+    rows = [(i, " ".join(["w"] * rnd.choice([1, 5, 40, 900])), "b" if i % 4 else "a", i) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_copies long")
+    df = df.withColumn("mix_copy", F.lit("x"))
+    settings = mixing.MixSettings(entropy=None, repeats=1.5, block_docs=20)
+    passes = {r["source"]: r["passes"] for r in mixing.weights(mixing.source_shares(mixing_counts(df)), settings).collect()}
+    blocks = collections.defaultdict(list)
+    for r in mixing.plan(df, settings).orderBy("place").collect():
+        blocks[r["source"], r["block"]].append(r)
+    assert len(blocks) > 4 and max(passes.values()) == pytest.approx(1.5, abs=0.01)
+    for (source, _), held in blocks.items():
+        whole = math.floor(passes[source])
+        rest = (passes[source] - whole) * sum(r["n_tokens"] for r in held)
+        extra = sum((r["copies"] - whole) * r["n_tokens"] for r in held)
+        assert abs(extra - rest) <= max(r["n_tokens"] for r in held) / 2
+    got = mixing.mixed(df, settings)  # columns of the names that it works with stay as they are
+    assert got.columns == df.columns and got.where("mix_copies <> doc_id OR mix_copy <> 'x'").count() == 0
+
+
+def mixing_counts(df):
+    return df.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), mixing.words().alias("n_tokens"))
+
+
 # Language model ---------------------------------------------------------------
 
 
