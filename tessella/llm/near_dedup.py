@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm.common import BoundedCache, written
@@ -46,6 +46,8 @@ SETTINGS = DedupSettings()
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CACHE_ENTRIES = 800_000
 TASK_EDGES = 250_000
+PIECE = 16_384  # elements of a set that are hashed together
+PAIRS_PER_TASK = 32  # of blocks
 WORDS = BoundedCache(CACHE_ENTRIES)
 
 
@@ -79,25 +81,33 @@ def signature(elements: np.ndarray, slots: int) -> np.ndarray:
 
     At level j every element puts a value in [j, j + 1) into the j-th slot of its own
     permutation. Once all slots hold less than j + 1 no later level can matter.
+    A large set goes in pieces, so memory is bounded; the slots' values carry over and
+    end the levels of later pieces sooner.
     """
-    n, rows = len(elements), np.arange(len(elements))
     least = np.full(slots, np.inf)
-    order = np.tile(np.arange(slots, dtype=np.int64), (n, 1))
-    state = elements
-    for level in range(slots):
-        state = mixed(state)
-        swap = level + (mixed(~state) % np.uint64(slots - level)).astype(np.int64)
-        slot = order[rows, swap]
-        order[rows, swap] = order[:, level]
-        order[:, level] = slot
-        np.minimum.at(least, slot, level + (state >> np.uint64(11)) * 2.0**-53)
-        if least.max() < level + 1:
-            break
+    for at in range(0, len(elements), PIECE):
+        state = elements[at : at + PIECE]
+        rows = np.arange(len(state))
+        order = np.tile(np.arange(slots, dtype=np.int16), (len(state), 1))
+        for level in range(slots):
+            state = mixed(state)
+            swap = level + (mixed(~state) % np.uint64(slots - level)).astype(np.int64)
+            slot = order[rows, swap]
+            order[rows, swap] = order[:, level]
+            order[:, level] = slot
+            np.minimum.at(least, slot, level + (state >> np.uint64(11)) * 2.0**-53)
+            if least.max() < level + 1:
+                break
     return least
 
 
+def text_key() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def sketches(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
-    """doc_id, n (size of the set), set_key, bands, slots of every whole text."""
+    """doc_id, text_key, n (size of the set), set_key, bands, slots of every whole text."""
     bands = settings.slots // settings.rows
     band = mixed(np.arange(bands, dtype=np.uint64))
 
@@ -119,10 +129,10 @@ def sketches(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
                     key = mixed(key ^ part)
                 out["bands"].append(key.view(np.int64))
                 out["slots"].append((bits & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
-            yield pd.DataFrame({"doc_id": frame["doc_id"], **out})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "text_key": frame["text_key"], **out})
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n long, set_key binary, bands array<long>, slots binary")
+    rows = docs.select("doc_id", text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInPandas(run, "doc_id long, text_key long, n long, set_key binary, bands array<long>, slots binary")
 
 
 def similar(pairs: DataFrame, classes: DataFrame, settings: DedupSettings) -> DataFrame:
@@ -279,11 +289,12 @@ def block_links(left: list, right: list, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def across(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> DataFrame:
-    """Pairs (a, b) of different components in a bucket that may share enough: all that
-    do are among them. A bucket is dealt to blocks; every two of its blocks meet once.
-    A block holds rows of the largest component apart from the others, so two blocks of
-    only that component don't meet.
+def block_pairs(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> DataFrame:
+    """outer, rows: every two blocks of a bucket that have to be compared, once.
+
+    A bucket is dealt to blocks. A block holds rows of the largest component apart from
+    the others, so two blocks of only that component don't meet. The pairs are named
+    first and spread over tasks; then each gets its blocks.
     """
     per = left.groupBy("bucket", "component").agg(F.count("*").alias("k"))
     largest = per.groupBy("bucket").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))
@@ -291,13 +302,23 @@ def across(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> DataFr
     blocks = F.ceil(F.col("size") / settings.block)
     block = F.pmod(F.xxhash64("node"), blocks).alias("block")
     rows = left.join(largest, "bucket").select("bucket", inner, block, "node", "component")
-    rows = rows.join(narrowed(texts).dropDuplicates(["node"]), "node")
-    packed = rows.groupBy("bucket", "inner", "block").agg(
+    packed = rows.join(narrowed(texts), "node").groupBy("bucket", "inner", "block").agg(
         F.collect_list(F.struct("node", "component", "n", "half")).alias("rows")
     )
     packed = written(packed, "blocks")
+    names = packed.select("bucket", "inner", "block")
     outer = packed.where("NOT inner").select("bucket", F.col("block").alias("own"), F.col("rows").alias("outer"))
-    met = packed.join(outer, "bucket").where(F.col("inner") | (F.col("own") <= F.col("block")))
+    met = names.join(outer.select("bucket", "own"), "bucket").where(F.col("inner") | (F.col("own") <= F.col("block")))
+    met = written(met, "met")
+    tasks = max(1, -(-met.count() // PAIRS_PER_TASK))
+    # Merged, so that the tasks are these: no pair's task follows from the size of its blocks.
+    packed = packed.repartition(tasks, "bucket", "inner", "block").hint("merge")
+    return met.join(outer, ["bucket", "own"]).join(packed, ["bucket", "inner", "block"]).select("outer", "rows")
+
+
+def across(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> DataFrame:
+    """Pairs (a, b) of different components in a bucket that may share enough: all that
+    do are among them."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -305,31 +326,27 @@ def across(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> DataFr
                 found = block_links(one, two, settings.percent)
                 yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return met.select("outer", "rows").mapInPandas(run, "a long, b long").distinct()
+    return block_pairs(left, texts, settings).mapInPandas(run, "a long, b long").distinct()
 
 
-def groups(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
-
-    A text without words (or a null one) is empty: no shingles, its own component. A row
-    without id is linked with nothing and kept, its component is null. Rows that repeat
-    an id are grouped by their own texts. Only doc_id and text are read.
-    """
+def grouped(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
+    """``groups`` with text_key and group, the group's number; null for rows without words or id."""
     sketch = written(sketches(docs, settings), "sketches")
     usable = sketch.where("doc_id IS NOT NULL AND n > 0")
-    classes = written(
-        usable.groupBy("set_key").agg(
-            F.min("doc_id").alias("node"), F.first("n").alias("n"),
-            F.first("bands").alias("bands"), F.first("slots").alias("slots"),
-        ),
-        "classes",
+    classes = usable.groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"),
+        F.first("bands").alias("bands"), F.first("slots").alias("slots"),
     )
+    # A class has a number of its own, as texts of one id can be of several classes.
+    node = F.monotonically_increasing_id().alias("node")
+    classes = written(classes.select(node, "row.doc_id", "row.text_key", "set_key", "n", "bands", "slots"), "classes")
     members = classes.select(F.explode("bands").alias("bucket"), "node")
     shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
     members = written(members.join(shared, "bucket"), "members")
-    suspects = members.select("node").distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = written(texts.join(suspects, "node", "left_semi"), "texts")
+    suspects = classes.select("node", "doc_id", "text_key").join(members.select("node").distinct(), "node")
+    texts = docs.select("doc_id", text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.join(suspects, ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"])
+    texts = written(texts, "texts")
 
     pairs = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = written(confirmed(similar(pairs, classes, settings), texts, settings), "links")
@@ -341,17 +358,46 @@ def groups(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
         close = written(compare(left), "close")
         links = links.union(written(confirmed(close, texts, settings), "links"))
         found = written(components(links), "components")
-    component = F.coalesce("component", "node")
-    named = classes.select("set_key", "node").join(found, "node", "left").select("set_key", component.alias("of_class"))
-    rows = sketch.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_class", "doc_id"))
-    rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
+    linked = found.join(classes.select("node", "doc_id", "set_key"), "node")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("of_group"))
+    named = linked.join(least, "component").select("set_key", "of_group", F.col("component").alias("group"))
+    alone = classes.join(found, "node", "left_anti").select("set_key", F.col("doc_id").alias("of_group"), F.col("node").alias("group"))
+    rows = sketch.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "set_key")
+    rows = rows.join(named.union(alone), "set_key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_group", "doc_id"))
+    group = F.when(F.col("doc_id").isNotNull(), F.col("group")).alias("group")
+    rows = rows.select("doc_id", "text_key", group, "n_shingles", component.alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return rows.withColumn("kept", kept)
 
 
+def groups(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row.
+
+    A text without words (or a null one) is empty: no shingles, its own component. A row
+    without id is linked with nothing and kept, its component is null. Rows that repeat
+    an id are grouped by their own texts. A very long text is hashed whole, in pieces.
+    Only doc_id and text are read.
+    """
+    return grouped(docs, settings).drop("text_key", "group")
+
+
 def one_of_each(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
-    """The documents, all columns, without those of which a smaller id is kept."""
-    found = groups(docs, settings).where("doc_id IS NOT NULL")
-    gone = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id"), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents, all columns, one row of each group: that with the smallest id.
+
+    Of several rows of this id the one whose text has the smallest hash stays, of rows
+    alike in both the least as JSON. Rows without id or without words are in no group
+    and stay.
+    """
+    found = grouped(docs, settings).where("group IS NOT NULL")
+    texts = written(found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("n")), "texts_of_groups")
+    first = texts.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
+    first = first.select("group", "row.*", F.lit(True).alias("first"))
+    special = texts.join(first, ["group", "doc_id", "text_key"], "left").where("n > 1 OR first IS NULL")
+    special = special.select(F.col("doc_id").alias("near_id"), F.col("text_key").alias("near_key"), "first")
+    special = written(special, "special")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", text_key().alias("text_key"))
+    same = (F.col("doc_id") == F.col("near_id")) & (F.col("text_key") == F.col("near_key"))
+    plain = whole.join(special, same, "left_anti").select("row.*")
+    again = whole.join(special.where("first"), same, "left_semi").groupBy("doc_id", "text_key")
+    return plain.union(again.agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*"))
