@@ -194,47 +194,75 @@ def build_index(vectors: DataFrame, keep: int, settings: GraphSettings = SETTING
         )
 
     schema = "dims int, shard long, start int, points binary, graph binary, ids binary, n_ids binary"
+    # A task to a shard, or nearly: graphs take long to grow.
+    dealt = dealt.repartition(2 * shards, "dims", "shard")
     return written(dealt.groupBy("dims", "shard").applyInPandas(grow, schema), "graphs")
 
 
+class Shard:
+    """A shard of the index in a task's memory."""
+
+    def __init__(self, row, settings: GraphSettings):
+        self.key = row.dims, row.shard
+        self.start = int(row.start)
+        self.points = np.frombuffer(row.points).reshape(-1, row.dims)
+        self.graph = np.frombuffer(row.graph, np.int32).reshape(-1, settings.degree).astype(np.int64)
+        self.ids, self.n_ids = np.frombuffer(row.ids, np.int64), np.frombuffer(row.n_ids, np.int64)
+        self.first = np.r_[0, np.cumsum(self.n_ids)]
+
+    def nearest(self, queries, k: int, settings: GraphSettings) -> pd.DataFrame:
+        """query_id, vec_id, score of a block: each query's ``k`` nearest, and all as near as the last."""
+        wanted = np.array([q["vec_id"] for q in queries], np.int64)
+        vectors = np.array([q["vector"] for q in queries], np.float64)
+        beam = max(settings.search_beam, 2 * (k + 1))
+        found, dist = beam_search(self.points, self.graph, self.start, vectors, beam, settings.expand)
+        out = []
+        for query, near, far in zip(wanted, found, dist):
+            near, far = near[near >= 0], np.sqrt(far[near >= 0])
+            # All points as near as the last one wanted may hold a smaller id.
+            last = far[min(k, len(far) - 1)]
+            near, far = near[far <= last], far[far <= last]
+            vec = np.concatenate([self.ids[self.first[p] : self.first[p + 1]] for p in near])
+            score = np.repeat(far, self.n_ids[near])
+            other = vec != query
+            out.append(pd.DataFrame({"query_id": query, "vec_id": vec[other], "score": score[other]}))
+        return pd.concat(out)
+
+
 def search(index: DataFrame, queries: DataFrame, k: int, settings: GraphSettings = SETTINGS) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` nearest by Euclidean distance.
 
     ``queries`` (vec_id, embedding); a query's own id is no answer. The index must keep
     ``k + 1`` ids or more per point. Ties go to the smaller id; where fewer than ``k``
-    others exist there are fewer rows. Vectors of another length are not compared.
+    others exist there are fewer rows. Vectors of another length are not compared. An id
+    with several vectors is asked with each and answered with the nearest of all.
+
+    A task reads a shard once and holds it while the blocks of queries pass.
     """
     rows = queries.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable("vector")).withColumn("dims", F.size("vector"))
-    shards = index.select("dims", "shard")
+    rows = rows.select("dims", "vec_id", "vector").distinct()
     # Blocks of queries, each one row, by hash: about ``batch`` of them together.
+    rows = written(rows, "queries")
     blocks = max(1, math.ceil(rows.count() / settings.batch))
-    packed = rows.groupBy("dims", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(
+    shards, most = index.agg(F.count("*"), F.max("shard")).first()
+    packed = rows.groupBy("dims", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).alias("block")).agg(
         F.collect_list(F.struct("vec_id", "vector")).alias("queries")
     )
-    # A row per block and shard; shards of a dimension are joined on it.
-    work = packed.join(shards, "dims").repartition("dims", "shard").join(index, ["dims", "shard"])
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(most or 0).cast("long"))).alias("shard")
+    packed = packed.select("dims", every, "block", "queries")
+    # The row of a shard, its block -1, comes before all blocks of queries.
+    both = index.withColumn("block", F.lit(-1).cast("long")).unionByName(packed, allowMissingColumns=True)
+    work = both.repartition(max(1, shards), "dims", "shard").sortWithinPartitions("dims", "shard", "block")
 
     def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for frame in frames:
             for row in frame.itertuples():
-                points = np.frombuffer(row.points).reshape(-1, row.dims)
-                graph = np.frombuffer(row.graph, np.int32).reshape(-1, settings.degree).astype(np.int64)
-                ids, n_ids = np.frombuffer(row.ids, np.int64), np.frombuffer(row.n_ids, np.int64)
-                first = np.r_[0, np.cumsum(n_ids)]
-                wanted = np.array([q["vec_id"] for q in row.queries], np.int64)
-                vectors = np.array([q["vector"] for q in row.queries], np.float64)
-                beam = max(settings.search_beam, 2 * (k + 1))
-                found, dist = beam_search(points, graph, row.start, vectors, beam, settings.expand)
-                for query, near, far in zip(wanted, found, dist):
-                    near, far = near[near >= 0], np.sqrt(far[near >= 0])
-                    # All points as near as the last one wanted may hold a smaller id.
-                    last = far[min(k, len(far) - 1)]
-                    near, far = near[far <= last], far[far <= last]
-                    vec = np.concatenate([ids[first[p] : first[p + 1]] for p in near])
-                    score = np.repeat(far, n_ids[near])
-                    other = vec != query
-                    yield pd.DataFrame({"query_id": query, "vec_id": vec[other], "score": score[other]})
+                if row.block < 0:
+                    held = Shard(row, settings)
+                elif held is not None and held.key == (row.dims, row.shard):
+                    yield held.nearest(row.queries, k, settings)
 
     found = work.mapInPandas(look, "query_id long, vec_id long, score double")
     # An id that comes with several vectors counts with its nearest.
@@ -247,6 +275,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int, settings:
     """``search`` of ``queries`` over a fresh index of ``vectors``.
 
     Vectors that are null, zero or hold a null, NaN or infinite component take no part,
-    nor do rows without id; an empty table gives no rows.
+    nor do rows without id; an empty table gives no rows. Columns other than vec_id and
+    embedding are not read. An id that comes with several vectors counts with its nearest.
     """
     return search(build_index(vectors, k + 1, settings), queries, k, settings)

@@ -49,6 +49,21 @@ def test_neighbours_of_odd_vectors(spark):
     assert found[0] == [1, 2, 3, 4, 5] and found[3] == [0, 1, 2, 4, 5] and found[45] == [30, 31, 32, 33, 34]
     assert 200 not in found and not set(found) & {100, 101, 102, 103, 104}
     assert graph_search.nearest_neighbours(df.limit(0), df, 5).count() == 0
+    assert graph_search.nearest_neighbours(df, df.limit(0), 5).count() == 0
+    # One id in most rows of the queries, extra columns of the names that the search works with.
+    many = df.where("vec_id = 45").crossJoin(spark.range(2000).select(F.col("id").alias("block"), F.lit("x").alias("points")))
+    got = graph_search.nearest_neighbours(df.withColumn("shard", F.lit("x")), many, 5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [30, 31, 32, 33, 34]
+
+
+def test_blocks_of_queries_are_of_bounded_size(spark):
+    # An id that comes with many vectors doesn't make one block.
+    rows = [(i, [float(i), 1.0]) for i in range(40)] + [(7, [float(i), 2.0]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    settings = graph_search.GraphSettings(batch=64, shard_rows=100)
+    got = graph_search.nearest_neighbours(df, df.where("vec_id = 7"), 3, settings).orderBy("rank").collect()
+    # Each vector asks; the nearest answers of the id's vectors count, ties to the smaller id.
+    assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [(7, 0, 1.0), (7, 1, 1.0), (7, 2, 1.0)]
 
 
 def verdict(url):
