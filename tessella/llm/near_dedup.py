@@ -47,7 +47,8 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CACHE_ENTRIES = 800_000
 TASK_EDGES = 250_000
 PIECE = 16_384  # elements of a set that are hashed together
-PAIRS_PER_TASK = 32  # of blocks
+TASK_PAIRS = 2_000_000  # of classes that a task compares, about
+TASK_SETS = 65_536  # that a task reads for it, about
 WORDS = BoundedCache(CACHE_ENTRIES)
 
 
@@ -306,11 +307,13 @@ def block_pairs(left: DataFrame, texts: DataFrame, settings: DedupSettings) -> D
         F.collect_list(F.struct("node", "component", "n", "half")).alias("rows")
     )
     packed = written(packed, "blocks")
-    names = packed.select("bucket", "inner", "block")
-    outer = packed.where("NOT inner").select("bucket", F.col("block").alias("own"), F.col("rows").alias("outer"))
-    met = names.join(outer.select("bucket", "own"), "bucket").where(F.col("inner") | (F.col("own") <= F.col("block")))
+    names = packed.select("bucket", "inner", "block", F.size("rows").alias("k"))
+    own = names.where("NOT inner").select("bucket", F.col("block").alias("own"), F.col("k").alias("k_own"))
+    met = names.join(own, "bucket").where(F.col("inner") | (F.col("own") <= F.col("block")))
     met = written(met, "met")
-    tasks = max(1, -(-met.count() // PAIRS_PER_TASK))
+    pairs, sets = met.agg(F.sum(F.col("k").cast("long") * F.col("k_own")), F.sum(F.col("k") + F.col("k_own"))).first()
+    tasks = max(1, -(-(pairs or 0) // TASK_PAIRS), -(-(sets or 0) // TASK_SETS))
+    outer = packed.where("NOT inner").select("bucket", F.col("block").alias("own"), F.col("rows").alias("outer"))
     # Merged, so that the tasks are these: no pair's task follows from the size of its blocks.
     packed = packed.repartition(tasks, "bucket", "inner", "block").hint("merge")
     return met.join(outer, ["bucket", "own"]).join(packed, ["bucket", "inner", "block"]).select("outer", "rows")
@@ -340,15 +343,18 @@ def grouped(docs: DataFrame, settings: DedupSettings = SETTINGS) -> DataFrame:
     # A class has a number of its own, as texts of one id can be of several classes.
     node = F.monotonically_increasing_id().alias("node")
     classes = written(classes.select(node, "row.doc_id", "row.text_key", "set_key", "n", "bands", "slots"), "classes")
-    members = classes.select(F.explode("bands").alias("bucket"), "node")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
-    members = written(members.join(shared, "bucket"), "members")
+    members = classes.select(F.explode("bands").alias("bucket"), "node", "doc_id")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("doc_id").alias("first_id"))
+    members = written(members.drop("doc_id").join(shared.where("size > 1"), "bucket"), "members")
     suspects = classes.select("node", "doc_id", "text_key").join(members.select("node").distinct(), "node")
     texts = docs.select("doc_id", text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(suspects, ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"])
     texts = written(texts, "texts")
 
-    pairs = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    # The smallest id leads: the earliest text is the likeliest to be what others copy.
+    lead = classes.groupBy(F.col("doc_id").alias("first_id")).agg(F.min("node").alias("a"))
+    pairs = members.select("first_id", F.col("node").alias("b")).distinct().join(lead, "first_id")
+    pairs = pairs.where("a <> b").select("a", "b")
     links = written(confirmed(similar(pairs, classes, settings), texts, settings), "links")
     found = written(components(links), "components")
     for compare in (lambda left: similar(led(left), classes, settings), lambda left: across(left, texts, settings)):
