@@ -341,6 +341,7 @@ def tokenised(docs: DataFrame, file: str) -> DataFrame:
                 rows.append((n, np.array(ids, np.int32), decoded))
             yield pd.DataFrame(rows, columns=["n_tokens", "tokens", "decoded_sha256"])
 
-    coded = docs.withColumn("coded", code(F.coalesce("text", F.lit(""))))
+    # The row goes along as one value, so that no other name clashes.
+    coded = docs.select(F.struct(*docs.columns).alias("row"), code(F.coalesce("text", F.lit(""))).alias("coded"))
     kept = [c for c in docs.columns if c not in ("text", "n_tokens", "tokens", "decoded_sha256")]
-    return coded.select(*kept, "coded.n_tokens", "coded.tokens", "coded.decoded_sha256")
+    return coded.select(*[f"row.`{c}`" for c in kept], "coded.n_tokens", "coded.tokens", "coded.decoded_sha256")
