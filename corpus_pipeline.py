@@ -17,27 +17,31 @@ MIX = mixing.MixSettings(entropy=None, repeats=1.5)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Every row is judged by its own text, also one
+    without id; a null text counts as empty."""
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
+    """One row of each group of near copies stays, that with the smallest id; rows that repeat
+    it are copies too. Rows without id or without words are in no group and stay."""
     return near_dedup.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; personal data in it gives way to tags."""
+    """Every row stays; personal data in it gives way to tags. A null text stays null."""
     return pii.redacted(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of small sources are repeated towards the target weights."""
+    """Documents of small sources are repeated towards the target weights. A null source is
+    the source "", rows without id are repeated alike."""
     return mixing.mixed(docs, MIX)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each text becomes its tokens; the digest of what they decode to comes with them."""
+    """Each text becomes its tokens; the digest of what they decode to comes with them.
+    A null text has no tokens."""
     return bpe_codec.tokenised(docs, tokenizer("byte_bpe_50k.json"))
 
 
