@@ -13,15 +13,18 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessella.llm.common import BoundedCache
+from tessella.llm.common import AgingCache
 
 # The published pre-tokenizer pattern of byte-level BPE.
 PRE_TOKEN = regex.compile(
@@ -41,7 +44,8 @@ KINDS = tuple(
 # white space looks one character ahead.
 SETTLED = 4
 CHUNK_CHARS = 65_536
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 200_000  # 200 bytes each, in every worker
+HELD_TOKENS = 500_000  # a batch of results ends with the text that brings it to this many
 CACHED_CHARS = 40
 NEVER = (1 << 40, -1)
 
@@ -98,7 +102,7 @@ class BpeModel:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = regex.compile("|".join(map(regex.escape, longest_first)) or r"(?!)")
         self.decimal = [str(i) for i in range(max(self.bytes_of) + 1)]
-        self.cache = BoundedCache(cache_entries)
+        self.cache = AgingCache(cache_entries)
 
     def tokens(self, raw: bytes) -> list[int]:
         """Tokens of a window: the best-ranked pair, the leftmost of equals, is
@@ -120,8 +124,8 @@ class BpeModel:
 
     def whole(self, piece: str) -> Sequence[int]:
         """Tokens of a complete pre-token."""
-        found = self.cache.get(piece)
-        if found is not None:
+        found = self.cache.get(piece) or self.cache.recall(piece)
+        if found:
             return found
         if len(piece) <= CACHED_CHARS:
             return self.cache.put(piece, tuple(self.tokens(piece.encode("utf-8", "replace"))))
@@ -330,18 +334,34 @@ def tokenised(docs: DataFrame, file: str) -> DataFrame:
     A null text counts as empty. Columns of these names in the input give way.
     """
 
-    @F.pandas_udf("n_tokens long, tokens array<int>, decoded_sha256 string")
-    def code(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(file)
-        for batch in texts:
-            rows = []
-            for text in batch:
-                ids: list[int] = []
-                n, _, decoded = digest(model, text, ids)
-                rows.append((n, np.array(ids, np.int32), decoded))
-            yield pd.DataFrame(rows, columns=["n_tokens", "tokens", "decoded_sha256"])
-
-    # The row goes along as one value, so that no other name clashes.
-    coded = docs.select(F.struct(*docs.columns).alias("row"), code(F.coalesce("text", F.lit(""))).alias("coded"))
+        for batch in batches:
+            yield from coded(model, batch)
+
+    # The text goes first, the row behind it, so that no other name clashes.
     kept = [c for c in docs.columns if c not in ("text", "n_tokens", "tokens", "decoded_sha256")]
-    return coded.select(*[f"row.`{c}`" for c in kept], "coded.n_tokens", "coded.tokens", "coded.decoded_sha256")
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), *[F.col(f"`{c}`") for c in kept])
+    schema = T.StructType(rows.schema.fields[1:])
+    schema = schema.add("n_tokens", T.LongType()).add("tokens", T.ArrayType(T.IntegerType())).add("decoded_sha256", T.StringType())
+    return rows.mapInArrow(run, schema)
+
+
+def coded(model: BpeModel, batch: pa.RecordBatch, held_tokens: int = HELD_TOKENS) -> Iterator[pa.RecordBatch]:
+    """The batch without its first column, and of that column's texts n_tokens, tokens and
+    decoded_sha256. Results go on before more than about ``held_tokens`` are held."""
+    names = [*batch.schema.names[1:], "n_tokens", "tokens", "decoded_sha256"]
+    begin, flat, sizes, digests = 0, array("i"), [], []
+    for nth, text in enumerate(batch.column(0), 1):
+        ids: list[int] = []
+        n, _, decoded = digest(model, text.as_py(), ids)
+        flat.extend(ids)
+        sizes.append(n)
+        digests.append(decoded)
+        if len(flat) >= held_tokens or nth == batch.num_rows:
+            ends = pa.array(np.cumsum([0, *sizes]), pa.int32())
+            tokens = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(flat, np.int32)))
+            rows = batch.slice(begin, nth - begin).columns[1:]
+            new = [pa.array(sizes, pa.int64()), tokens, pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays([*rows, *new], names)
+            begin, flat, sizes, digests = nth, array("i"), [], []

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import BoundedCache, written
+from tessella.llm.common import word_hashes, written
 
 SHINGLE = 5
 
@@ -44,12 +44,10 @@ class DedupSettings:
 
 SETTINGS = DedupSettings()
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-CACHE_ENTRIES = 800_000
 TASK_EDGES = 250_000
 PIECE = 16_384  # elements of a set that are hashed together
 TASK_PAIRS = 2_000_000  # of classes that a task compares, about
 TASK_SETS = 65_536  # that a task reads for it, about
-WORDS = BoundedCache(CACHE_ENTRIES)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,11 +61,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def shingles(text: str) -> np.ndarray:
     """Sorted 64-bit hashes of the set; empty without words. A-Z is lower-cased and
     words end at ASCII white space: just what ``bytes`` does."""
-    cache, found = WORDS, []
-    for word in text.encode("utf-8", "replace").lower().split():
-        number = cache.get(word)
-        found.append(cache.put(word, xxhash.xxh3_64_intdigest(word)) if number is None else number)
-    word = np.array(found, dtype=np.uint64)
+    word = word_hashes(text)
     if not len(word):
         return word
     size = min(SHINGLE, len(word))

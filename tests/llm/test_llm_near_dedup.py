@@ -108,3 +108,13 @@ def test_a_large_bucket_is_spread_over_tasks(spark):
     # Ten blocks, of which the one of the largest component's only class is an eleventh.
     assert sum(r["n"] for r in per_task) == 55 + 10 and len(per_task) > 1
     assert near_dedup.across(left, texts, near_dedup.SETTINGS).count() == 0
+
+
+def test_a_worker_keeps_no_words_of_the_texts_it_has_seen():
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for i in range(20):
+        near_dedup.shingles(" ".join(f"w{i}x{k}" for k in range(5000)))
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert kept < 1e6

@@ -70,6 +70,33 @@ def test_code_digests(spark, library):
     assert bpe_codec.tokenised(df, BPE).columns == ["doc_id", "n_tokens", "tokens", "decoded_sha256"]
 
 
+def test_results_go_on_in_bounded_batches(library):
+    import pyarrow as pa
+
+    model = bpe_codec.BpeModel(BPE)
+    rows = [*texts(60), "", "one more"]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows), pa.array([[i] for i in range(len(rows))])], ["text", "of"])
+    parts = list(bpe_codec.coded(model, batch, 700))
+    want = [library.encode(t, add_special_tokens=False).ids for t in rows]
+    assert len(parts) > 3 and all(len(p["tokens"].flatten()) < 700 + max(map(len, want)) for p in parts)
+    got = pa.Table.from_batches(parts).to_pylist()
+    assert [r["of"] for r in got] == [[i] for i in range(len(rows))]
+    assert [r["tokens"] for r in got] == want and [r["n_tokens"] for r in got] == [len(x) for x in want]
+    assert [r["decoded_sha256"] for r in got] == [sha(t) for t in rows]
+    assert list(bpe_codec.coded(model, batch.slice(0, 0))) == []
+
+
+def test_the_codecs_cache_is_small_and_keeps_what_is_asked_for():
+    model = bpe_codec.BpeModel(BPE)
+    model.cache = type(model.cache)(1000)
+    for i in range(5000):
+        model.whole(" often")
+        model.whole(f" x{i}")
+        assert len(model.cache) + len(model.cache.older) <= 1000
+    assert " often" in model.cache or " often" in model.cache.older
+    assert bpe_codec.CACHE_ENTRIES <= 200_000  # two workers have one each beside a full heap
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
