@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
@@ -350,3 +351,13 @@ def test_patterns_spread_two_hops_and_past_unknown_instances(spark):
     assert all(spans[100 + i] == "email:7:12" for i in range(10))
     assert all(spans[200 + i] == "email:8:13" for i in range(10))
     assert spans[300] == "email:8:12" and spans[600] == ""
+
+
+def test_a_worker_keeps_no_words_of_the_texts_it_has_hashed():
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for i in range(20):
+        assert len(word_hashes(" ".join(f"w{i}x{k}" for k in range(5000)))) == 5000
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert kept < 1e6
