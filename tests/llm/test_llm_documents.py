@@ -15,7 +15,7 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from tessella.llm import bm25_search, lm_score, mixing, near_dedup, pii, quality
-from tessella.llm.common import word_hashes
+from tessella.llm.common import word_hashes, written
 
 SCHEMA = "doc_id long, text string, n long, component string"
 FOLDER = str(TESTDATA / "sf0.001")
@@ -314,6 +314,41 @@ def test_search_skips_most_blocks(spark):
     assert shard.blocks > 100_000 and shard.scored < 0.5 * shard.blocks
 
 
+def test_search_copies_nothing_for_each_shard_and_block(spark, documents, monkeypatch):
+    settings = replace(bm25_search.SETTINGS, shard_bytes=30_000, query_block=2000, first_files=2)
+    plans = []
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(bm25_search, "written", kept)
+    answers = []
+    for df in (documents.repartition(6), documents.coalesce(1)):  # several rounds, and one
+        answers.append(bm25_search.top_k(df, df.where("doc_id % 20 = 0"), 10, settings).collect())
+    many, one = ({(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 7)) for r in x} for x in answers)
+    assert many == one
+    rounds = [plan for name, plan in plans if name == "best"]
+    assert len(rounds) == 4  # six files in rounds of two, two and two; one file in one
+    for plan in rounds:
+        # Shards and blocks meet in the task that reads them; only answers are dealt out above it.
+        above, below = plan.split("CartesianProduct")
+        assert "steps" not in "".join(x for x in above.splitlines() if "Exchange" in x)
+        assert "Generate" not in below
+
+
+def test_a_floor_drops_what_does_not_reach_it(spark):
+    rows = [(i, " ".join(f"t{j}" for j in range(i % 7 + 1))) for i in range(1, 60)]
+    row = next(bm25_search.build_index(frame(spark, rows).coalesce(1)).toPandas().itertuples())
+    all_, some = (bm25_search.Shard(row, 4.0, bm25_search.SETTINGS) for _ in range(2))
+    places = np.arange(len(all_.terms))
+    ids, score = all_.best(places, np.ones(len(places)), -1, 20)
+    floor = score[4]
+    some_ids, some_score = some.best(places, np.ones(len(places)), -1, 20, floor)
+    assert some_ids.tolist() == ids[score >= floor].tolist() and 4 < len(some_ids) < 20
+    assert some_score.tolist() == score[score >= floor].tolist() and some.scored < some.blocks
+
+
 def test_search_uses_all_terms_as_registered(spark):
     # 15 rare words that each query shares with its twin come after 20 rarer ones shared with others.
     rows = [(0, " ".join([f"r{i}" for i in range(20)] + [f"t{i}" for i in range(15)]))]
