@@ -4,6 +4,7 @@ brute force, on fixtures that hold nulls, empty texts, ties and repeated rows.""
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -272,6 +273,41 @@ def test_backoff_of_repeated_rows_null_ids_and_a_long_text(spark):
     assert mine == sorted((str(ids[i]), n, round(score, 5)) for i, (n, score) in want.items())
 
 
+def test_backoff_in_passes_shuffles_a_part_of_the_ngrams_in_each(spark, documents, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in documents.limit(40).collect()] + [(90001, "the the of"), (90002, None)]
+    rows += [(7000 + i, t) for i, t in rows[:3]]
+    size = sum(len(words(t)) for _, t in rows)
+    settings = lm_score.LmSettings(batch_words=2000, count_passes=3, score_passes=2, pass_words=size // 3)
+    assert settings.fitted(size) == settings and settings.fitted(0).count_passes == 1
+    tables, paths = collections.defaultdict(list), []
+
+    def kept(df, name):
+        table = written(df, name)
+        tables[name].append(table.select(table.columns[0]).toPandas().iloc[:, 0].tolist())
+        if name == "ngram_counts":
+            paths.extend(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(lm_score, "written", kept)
+    got = lm_score.scores(frame(spark, rows).repartition(3), settings).collect()
+    want = backoff_scores(rows, 3)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["log_score"] == pytest.approx(want[r["doc_id"]][1], rel=1e-9, abs=1e-9)
+    # Every n-gram of two rows is counted in one pass, and the passes are about alike.
+    of = collections.Counter()
+    for _, t in rows:
+        w = words(t)
+        of.update({tuple(w[k : k + n]) for n in (1, 2, 3) for k in range(len(w) - n + 1)})
+    hashes = [set(x) for x in tables["ngram_counts"]]
+    assert len(hashes) == 3 and sum(map(len, hashes)) == len(set().union(*hashes)) == sum(n > 1 for n in of.values())
+    assert max(map(len, hashes)) < 0.5 * sum(map(len, hashes))
+    assert sorted(sum(tables["ngram_table"], [])) == sorted(set().union(*hashes))
+    assert paths and not any(os.path.exists(x.removeprefix("file://")) for x in paths)  # not kept for the second half
+    docs = [len(x) for x in tables["ngram_parts"]]
+    assert len(docs) == 2 and sum(docs) == sum(any(of[(w,)] > 1 for w in words(t)) for _, t in rows) and min(docs) > 10
+
+
 # Search -----------------------------------------------------------------------
 
 
